@@ -9,6 +9,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, radius=2)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -18,7 +24,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op6_byte_bpe": op6_byte_bpe,
+}
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLES: dict[str, str] = {}
