@@ -24,9 +24,24 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
+    return found.drop("items", "runs")
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import media
+
+    return media.media_columns(_table(spark, sf_dir, "documents")).drop("shard", "offset")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_media": op9_media,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
