@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import file_system, new_folder, task_tag, written
+from .storage import file_system, new_folder, realigned, task_tag, written
 
 #: Samples in a line; payloads are padded with zeros to a positive multiple of it.
 WIDTH = 64
@@ -134,7 +134,7 @@ def store(df: DataFrame, folder: str, text: str = "text", key: str = "doc_id") -
     rows = written(df.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, n_bytes long, digest string, shard string, offset long, length long"), "media-index")
     # Copies of other tasks: every row of a digest refers to one place.
     place = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p"))
-    return rows.select(key, "n_bytes", "digest").join(place, "digest").select(key, "n_bytes", "digest", "p.shard", "p.offset", "p.length")
+    return rows.select(key, "n_bytes", "digest").join(realigned(place, "digest"), "digest").select(key, "n_bytes", "digest", "p.shard", "p.offset", "p.length")
 
 
 def _ranges(stream_of, rows, size_of):

@@ -15,6 +15,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, radius=2)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    return warc.round_trip(_table(spark, sf_dir, "pages"), least_bytes=0)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,6 +45,7 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op9_media": op9_media,

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import realigned, written
 
 #: Bits that deal variants out to buckets, on each of the two levels.
 BUCKET_BITS = 12
@@ -232,7 +232,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = e if not large else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # a: centre. Small star: e has a > b. Large star: both directions.
         least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("m"))
-        joined = both.join(least, "a")
+        joined = both.join(realigned(least, "a"), "a")
         if large:
             return joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         kept = joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
