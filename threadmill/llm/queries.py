@@ -37,6 +37,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items", "runs")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix
+
+    return suffix.deduplicate(_table(spark, sf_dir, "documents"), length=200).drop("kept")
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import media
 
@@ -48,6 +54,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_decontaminate": op7_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_media": op9_media,
 }
 
