@@ -55,6 +55,12 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(_table(spark, sf_dir, "documents")).drop("shard", "offset")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html
+
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_warc": op2_warc,
@@ -63,6 +69,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_media": op9_media,
+    "op10_html_text": op10_html_text,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
