@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +23,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_log(_table(spark, sf_dir, "conversations"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
@@ -64,6 +70,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_warc": op2_warc,
+    "op3_tool_calls": op3_tool_calls,
     "op4_toxicity": op4_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_decontaminate": op7_decontaminate,
@@ -73,4 +80,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_tool_calls": chat.CHAT_LOG_SQL}
