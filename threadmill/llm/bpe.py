@@ -183,6 +183,25 @@ def decode_frame(df: DataFrame, path: str, pattern: str, ids: str = "ids", keep:
     return df.select(*keep, F.col(ids).alias("_ids")).mapInArrow(run, schema)
 
 
+def encode_checked(df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` with ``ids`` (array<int>), ``n_tokens`` and ``decodes`` (the ids give back the text's bytes)."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", ids array<int>, n_tokens long, decodes boolean"
+
+    def run(batches):
+        bpe = load(path, pattern)
+        for b in batches:
+            texts = _texts(b, len(keep))
+            for at in range(0, len(texts), 1_000):
+                part = texts[at : at + 1_000]
+                packed = [bpe.encode(t) for t in part]
+                same = [bpe.decode(i) == t.encode("utf-8", "surrogatepass") for i, t in zip(packed, part)]
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in packed)]), pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+                cols = [b.column(i).slice(at, len(part)) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*cols, ids, pa.array([len(i) // 4 for i in packed], pa.int64()), pa.array(same, pa.bool_())], [*keep, "ids", "n_tokens", "decodes"])
+
+    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+
+
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Encode every text, decode its ids, and give counts and digests of both.
 

@@ -33,6 +33,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import tokencount
+
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,6 +80,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_tool_calls": op3_tool_calls,
     "op4_toxicity": op4_toxicity,
+    "op5_token_counts": op5_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
