@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import bpe, decontaminate, simhash, suffix, toxicity
+from threadmill.llm import bpe, decontaminate, simwide, suffix, toxicity
 from threadmill.llm.storage import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,8 +21,8 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of SimHash near-duplicates."""
-    return simhash.keep_one(docs.select(*COLUMNS), words=5, radius=2)
+    """One document, that with the least id, of each group of near-duplicates (SimHash, five words, 0.8)."""
+    return simwide.keep_one(docs.select(*COLUMNS), words=5, similarity=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

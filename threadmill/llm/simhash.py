@@ -267,13 +267,3 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     of_print = nodes.join(classes, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     out = prints.join(of_print, "fp", "left")
     return out.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 4, radius: int = 2) -> DataFrame:
-    """Rows of ``df`` that stand for their class: the row with the least ``key`` of each.
-
-    Rows with a null ``key`` stay unless another row shares their class; repeated rows of the least key all stay.
-    """
-    found = near_duplicates(df, text, key, words, radius)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return df.join(gone, df[key] == gone["_gone"], "left_anti")
