@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .simhash import GATHER, _bundles, _popcount, components, masks
+from .simhash import BUNDLE, GATHER, _bundles, _popcount, components, masks
 from .storage import realigned, written
 
 #: Bits of the fingerprint that pairs are checked on, in words of 64.
@@ -131,6 +131,38 @@ def _pairs(value: np.ndarray, owner: np.ndarray, order_of: np.ndarray) -> tuple[
     return pair[:, 0], pair[:, 1]
 
 
+def _variants(home: np.ndarray, spent: np.ndarray, rows: np.ndarray, low_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Variants in the low bits with what is left of the radius, and the row that owns each."""
+    values, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+    for r in range(RADIUS + 1):
+        at = np.flatnonzero(spent == RADIUS - r)
+        if len(at):
+            m = masks(low_bits, r)
+            values.append((home[at, None] ^ m[None, :]).ravel())
+            owners.append(np.repeat(rows[at].astype(np.int32), len(m)))
+    return np.concatenate(values), np.concatenate(owners)
+
+
+def _dealt(home: np.ndarray, spent: np.ndarray, top: int, variants: int):
+    """A bucket in parts of about BUNDLE variants: dealt once more, by its next bits, in memory."""
+    s = 0 if variants <= 2 * BUNDLE else min(10, math.ceil(math.log2(variants / BUNDLE)))
+    if not s:
+        yield home, spent, np.arange(len(home)), top
+        return
+    stems, costs, rows = [], [], []
+    for m in masks(s, RADIUS, top - s):
+        cost = int(m).bit_count()
+        at = np.flatnonzero(spent + cost <= RADIUS)
+        stems.append(home[at] ^ m)
+        costs.append((spent[at] + cost).astype(np.uint8))
+        rows.append(at.astype(np.int32))
+    stem, cost, row = np.concatenate(stems), np.concatenate(costs), np.concatenate(rows)
+    part = (stem >> np.uint64(top - s)) & np.uint64((1 << s) - 1)
+    by = np.argsort(part, kind="stable")
+    for at in np.split(by, np.flatnonzero(np.diff(part[by])) + 1):
+        yield stem[at], cost[at], row[at], top - s
+
+
 def candidates(nodes: DataFrame, count: int) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of nodes that share a variant in some table.
 
@@ -152,17 +184,12 @@ def candidates(nodes: DataFrame, count: int) -> DataFrame:
         weight = np.array([len(masks(top, RADIUS - r)) for r in range(RADIUS + 1)])[spent]
         out = [np.zeros((0, 2), np.int64)]
         for at in _bundles(bucket, weight):
-            n, h, s, u = node[at], home[at], spent[at], bucket[at].astype(np.uint64) << np.uint64(PART)
-            values, owners = [], []
-            for r in range(RADIUS + 1):
-                rows = np.flatnonzero(s == RADIUS - r)
-                if len(rows):
-                    m = masks(top, r)
-                    values.append(((h | u)[rows, None] ^ m[None, :]).ravel())
-                    owners.append(np.repeat(rows.astype(np.int32), len(m)))
+            n, u = node[at], bucket[at].astype(np.uint64) << np.uint64(PART)
             shuffled = n.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            i, j = _pairs(np.concatenate(values), np.concatenate(owners), shuffled)
-            out.append(np.stack([np.minimum(n[i], n[j]), np.maximum(n[i], n[j])], 1))
+            for h, s, rows, low_bits in _dealt(home[at], spent[at], top, int(weight[at].sum())):
+                values, owners = _variants(h | u[rows], s, rows, low_bits)
+                i, j = _pairs(values, owners, shuffled)
+                out.append(np.stack([np.minimum(n[i], n[j]), np.maximum(n[i], n[j])], 1))
         pair = np.unique(np.concatenate(out), axis=0)
         pair = pair[pair[:, 0] != pair[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])

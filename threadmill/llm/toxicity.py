@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows that the model is fitted on, at most.
-SAMPLE_ROWS = 9_000
+SAMPLE_ROWS = 6_000
 #: Features that the model keeps, at most.
 FEATURES = 5_000
 #: Distinct sample texts of class 1 that a feature occurs in, at least.
 LEAST_TEXTS = 5
 #: Words whose features a worker remembers, at most.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 #: Identity terms that are swapped for one another, and neutral words that they are swapped for (fixed values).
 IDENTITY_TERMS = (
