@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import manifests
+from . import manifests, texts
 
-PARTS = (manifests,)
+PARTS = (manifests, texts)
 
 QUERIES = {k: q for p in PARTS for k, q in p.QUERIES.items()}
 ORACLES = {k: q for p in PARTS for k, q in p.ORACLES.items()}
