@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import written
 
-def scan_json_dir(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """All ``*.json`` files below a folder; each holds an object or an array of them."""
-    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+
+def scan_json_dir(spark: SparkSession, path: str, schema: StructType | str | None = None, pattern: str = "*.json") -> DataFrame:
+    """All files of a name pattern below a folder; each holds an object or an array of them."""
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     return (reader.schema(schema) if schema else reader).json(path)
 
 
@@ -31,6 +33,7 @@ def scan_jsonl_file_atomic(spark: SparkSession, path: str, schema: StructType |
     full = StructType([*full.fields]).add("_corrupt_record", "string")
     rows = spark.read.schema(full).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     rows = rows.select(*names, "_corrupt_record", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified"))
+    rows = written(rows, "parsed")  # a file is parsed once, and every column of it
     bad = rows.where("_corrupt_record is not null").select("file_path").distinct()
     return rows.join(bad, "file_path", "left_anti").select(*names, "file_path", "modified")
 

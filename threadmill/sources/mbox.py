@@ -80,7 +80,7 @@ class MboxReader(DataSourceReader):
 
         system, path = _open(self.path)
         info = system.get_file_info(path)
-        files = [info] if info.type == fs.FileType.File else sorted((f for f in system.get_file_info(fs.FileSelector(path, recursive=True)) if f.type == fs.FileType.File), key=lambda f: f.path)
+        files = [info] if info.type == fs.FileType.File else sorted((f for f in system.get_file_info(fs.FileSelector(path, recursive=True)) if f.type == fs.FileType.File and not f.base_name.startswith((".", "_"))), key=lambda f: f.path)
         return [_Range(f.path, at, min(at + self.size, f.size)) for f in files for at in range(0, f.size, self.size)]
 
     def read(self, part):
