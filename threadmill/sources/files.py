@@ -21,7 +21,9 @@ def scan_jsonl_permissive(spark: SparkSession, path: str, schema: StructType | s
     """JSON lines; blank lines are skipped, malformed ones too (or kept in ``_corrupt_record``)."""
     full = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
     full = StructType([*full.fields]).add("_corrupt_record", "string")
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    rows = lines.select(F.from_json("value", full, options).alias("_j")).select("_j.*")
     bad = F.col("_corrupt_record").isNotNull()
     return rows.where(bad) if corrupt else rows.where(~bad).drop("_corrupt_record")
 
