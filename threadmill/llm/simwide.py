@@ -11,9 +11,10 @@ part values with one of 1e-6.
 The shuffle is factored as in ``simhash``: variants travel by their leading bits, and the rest is
 written out after it. The number of leading bits follows the number of fingerprints, so that a bucket
 stays a few tens of thousands. Equal fingerprints are one node. Up to ``ALL_PAIRS`` owners of a variant are
-paired all; of more, each is paired with the next ``NEXT`` in a fixed random order and with the first,
-which over all variants and tables connects them, and keeps pairs in proportion to rows.
-Checking is SQL: joins on the node and counts of differing bits.
+paired all; of more, each is paired with the ``HUBS`` that share most variants with others: an original
+among its edited copies. A first pass over one table pairs each owner with the busiest alone and joins most
+of a dense group; the pass over all tables leaves out pairs of one class, so that pairs stay in
+proportion to rows. Rows carry 128 bits more, by which most false pairs are known at once. Checking is SQL: joins on the node and counts of differing bits.
 
 Defined results: as in ``simhash``; texts without words share one class; a text of fewer words than
 a shingle is one shingle.
@@ -41,9 +42,9 @@ PART = 36
 RADIUS = 2
 #: Fingerprints at home in a bucket, about.
 HOME = 16_000
-#: Owners of a variant that are paired all, and followers each is paired with where there are more.
-ALL_PAIRS = 12
-NEXT = 3
+#: Owners of a variant that are paired all, and owners that each is paired with where there are more.
+ALL_PAIRS = 6
+HUBS = 2
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Eight lanes of one byte for the eight bits of a byte, first bit in the first lane.
@@ -101,8 +102,11 @@ def most_bits(similarity: float, slack: float = 1.0) -> int:
     return math.floor(WIDE * p + slack * math.sqrt(WIDE * p * (1 - p)))
 
 
-def _pairs(value: np.ndarray, owner: np.ndarray, order_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of owners of equal values; ``order_of`` is a fixed random order of owners."""
+def _pairs(value: np.ndarray, owner: np.ndarray, known: np.ndarray, star: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of owners of equal values: all of few owners, else each with the ``HUBS`` busiest.
+
+    ``known``: each owner's class so far; pairs inside one are left out. ``star``: each with the busiest alone.
+    """
     ordered = np.sort(value)
     shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(shared):
@@ -111,21 +115,19 @@ def _pairs(value: np.ndarray, owner: np.ndarray, order_of: np.ndarray) -> tuple[
     place[place == len(shared)] = 0
     hit = shared[place] == value
     place, owner = place[hit], owner[hit].astype(np.int64)
-    by = np.lexsort((order_of[owner], place))
+    busy = np.bincount(owner, np.bincount(place)[place])
+    by = np.lexsort((owner, -busy[owner], place))
     place, owner = place[by], owner[by]
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     size = np.diff(np.append(first, len(place)))
-    start, many = np.repeat(first, size), np.repeat(size > ALL_PAIRS, size)
-    out = []
+    start, size = np.repeat(first, size), np.repeat(size, size)
     index = np.arange(len(place))
-    for step in range(1, ALL_PAIRS):
-        to = index + step
-        ok = (to < len(place)) & (~many | (step <= NEXT))
-        ok[ok] &= place[to[ok]] == place[index[ok]]
-        if ok.any():
-            out.append(np.stack([owner[index[ok]], owner[to[ok]]], 1))
-    far = many & (index > start)
-    out.append(np.stack([owner[start[far]], owner[index[far]]], 1))
+    at = index - start
+    out = []
+    for step in range(1 if star else ALL_PAIRS - 1):  # with the member at this place of its group
+        ok = (at > step) & ((size <= ALL_PAIRS) | (step < HUBS))
+        ok[ok] &= known[owner[start[ok] + step]] != known[owner[index[ok]]]
+        out.append(np.stack([owner[start[ok] + step], owner[index[ok]]], 1))
     pair = np.sort(np.concatenate(out), axis=1)
     pair = np.unique(pair[pair[:, 0] != pair[:, 1]], axis=0)
     return pair[:, 0], pair[:, 1]
@@ -163,19 +165,22 @@ def _dealt(home: np.ndarray, spent: np.ndarray, top: int, variants: int):
         yield stem[at], cost[at], row[at], top - s
 
 
-def candidates(nodes: DataFrame, count: int) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of nodes that share a variant in some table.
+def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, star: bool = False) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of nodes of different classes that share a variant in some table.
 
-    ``nodes``: ``node`` (long, distinct) and ``parts`` (array of ``TABLES`` longs); ``count``: their number.
+    ``nodes``: ``node`` (long, distinct), ``parts`` (array of ``TABLES`` longs), ``wide`` and ``known`` (the class so
+    far, a long); ``count``: their number. Pairs whose last 128 bits differ in more than ``most`` are left out. Only the first ``tables`` parts are searched.
     """
     bits = min(20, max(4, math.ceil(math.log2(max(count, 1) / HOME)))) if count > HOME else 4
     top = PART - bits
-    part = nodes.select("node", F.posexplode("parts").alias("t", "part"))
+    last = [F.col("wide")[WIDE // 64 - i].alias(f"x{i}") for i in (2, 1)]
+    part = nodes.select("node", "known", *last, F.posexplode(F.slice("parts", 1, tables)).alias("t", "part"))
     row = F.explode(F.array(*[F.lit(int(m)) for m in masks(bits, RADIUS, top).tolist()]))
-    sent = part.select("node", "part", "t", row.alias("m")).select("node", "part", F.shiftleft("t", bits).bitwiseOR(F.shiftright(F.col("part").bitwiseXOR(F.col("m")), top).cast("int")).alias("bucket"))
+    sent = part.select("node", "known", "x2", "x1", "part", "t", row.alias("m"))
+    sent = sent.select("node", "part", F.shiftleft("t", bits).bitwiseOR(F.shiftright(F.col("part").bitwiseXOR(F.col("m")), top).cast("int")).alias("bucket"), "known", "x2", "x1")
 
     def bundle(held):
-        node, part, bucket = (np.concatenate(x) for x in zip(*held))
+        node, part, bucket, known, x2, x1 = (np.concatenate(x) for x in zip(*held))
         part = part.view(np.uint64)
         low = np.uint64((1 << top) - 1)
         stem = (bucket.astype(np.uint64) & np.uint64((1 << bits) - 1)) << np.uint64(top)
@@ -184,11 +189,13 @@ def candidates(nodes: DataFrame, count: int) -> DataFrame:
         weight = np.array([len(masks(top, RADIUS - r)) for r in range(RADIUS + 1)])[spent]
         out = [np.zeros((0, 2), np.int64)]
         for at in _bundles(bucket, weight):
-            n, u = node[at], bucket[at].astype(np.uint64) << np.uint64(PART)
-            shuffled = n.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            n, u, c = node[at], bucket[at].astype(np.uint64) << np.uint64(PART), known[at]
+            y2, y1 = x2[at].view(np.uint64), x1[at].view(np.uint64)
             for h, s, rows, low_bits in _dealt(home[at], spent[at], top, int(weight[at].sum())):
                 values, owners = _variants(h | u[rows], s, rows, low_bits)
-                i, j = _pairs(values, owners, shuffled)
+                i, j = _pairs(values, owners, c, star)
+                near = _popcount(y2[i] ^ y2[j]).astype(np.int16) + _popcount(y1[i] ^ y1[j]) <= most
+                i, j = i[near], j[near]
                 out.append(np.stack([np.minimum(n[i], n[j]), np.maximum(n[i], n[j])], 1))
         pair = np.unique(np.concatenate(out), axis=0)
         pair = pair[pair[:, 0] != pair[:, 1]]
@@ -197,7 +204,7 @@ def candidates(nodes: DataFrame, count: int) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for t in batches:
-            cols = [t.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            cols = [t.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
             if held and size >= GATHER:
                 change = np.flatnonzero(cols[2] != held[-1][2][-1])
                 if len(change):
@@ -215,6 +222,13 @@ def candidates(nodes: DataFrame, count: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _checked(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose wide fingerprints are as close as this similarity asks."""
+    one, two = (nodes.select(F.col("node").alias(k), F.col("wide").alias(f"w{k}")) for k in "ab")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return pairs.join(one, "a").join(two, "b").where(apart <= most_bits(similarity)).select("a", "b")
+
+
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``key`` and ``component_id`` (least ``key`` of the class) of every row."""
 
@@ -230,11 +244,16 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     rows = written(source.mapInArrow(prints, "_key long, wide array<long>, parts array<long>"), "wide-fingerprints")
     # Equal fingerprints are one node, named by its least id.
     nodes = written(rows.groupBy("wide").agg(F.min("_key").alias("node"), F.first("parts").alias("parts")).where("node is not null"), "nodes")
-    pairs = candidates(nodes.select("node", "parts"), nodes.count())
-    one, two = nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb"))
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    linked = pairs.join(one, "a").join(two, "b").where(apart <= most_bits(similarity)).select("a", "b")
-    classes = components(linked)
+    count = nodes.count()
+    share = most_bits(similarity) / WIDE
+    most = math.floor(128 * share + 2.5 * math.sqrt(128 * share * (1 - share)))
+    # First the busiest partners in one table, which joins most of a dense group; then all tables, for
+    # pairs of different classes alone.
+    first = _checked(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity)
+    early = written(components(first), "early-classes")
+    told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
+    later = _checked(candidates(told, count, most), nodes, similarity)
+    classes = components(later.unionByName(early.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))))
     of_print = nodes.join(classes, "node", "left").select("wide", F.coalesce("component", "node").alias("component_id"))
     hashed = F.xxhash64("wide")
     return rows.withColumn("_w", hashed).join(of_print.withColumn("_w", hashed), ["_w", "wide"], "left").select(F.col("_key").alias(key), "component_id")
