@@ -14,7 +14,7 @@ stays a few tens of thousands. Equal fingerprints are one node. Up to ``ALL_PAIR
 paired all; of more, each is paired with the ``HUBS`` that share most variants with others: an original
 among its edited copies. A first pass over one table pairs each owner with the busiest alone and joins most
 of a dense group; the pass over all tables leaves out pairs of one class, so that pairs stay in
-proportion to rows. Rows carry 128 bits more, by which most false pairs are known at once. Checking is SQL: joins on the node and counts of differing bits.
+proportion to rows. Rows carry 192 bits more, by which most false pairs are known at once. Checking is SQL: joins on the node and counts of differing bits.
 
 Defined results: as in ``simhash``; texts without words share one class; a text of fewer words than
 a shingle is one shingle.
@@ -169,18 +169,18 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
     """Distinct pairs ``a`` < ``b`` of nodes of different classes that share a variant in some table.
 
     ``nodes``: ``node`` (long, distinct), ``parts`` (array of ``TABLES`` longs), ``wide`` and ``known`` (the class so
-    far, a long); ``count``: their number. Pairs whose last 128 bits differ in more than ``most`` are left out. Only the first ``tables`` parts are searched.
+    far, a long); ``count``: their number. Pairs whose last 192 bits differ in more than ``most`` are left out. Only the first ``tables`` parts are searched.
     """
     bits = min(20, max(4, math.ceil(math.log2(max(count, 1) / HOME)))) if count > HOME else 4
     top = PART - bits
-    last = [F.col("wide")[WIDE // 64 - i].alias(f"x{i}") for i in (2, 1)]
+    last = [F.col("wide")[WIDE // 64 - i].alias(f"x{i}") for i in (3, 2, 1)]
     part = nodes.select("node", "known", *last, F.posexplode(F.slice("parts", 1, tables)).alias("t", "part"))
     row = F.explode(F.array(*[F.lit(int(m)) for m in masks(bits, RADIUS, top).tolist()]))
-    sent = part.select("node", "known", "x2", "x1", "part", "t", row.alias("m"))
-    sent = sent.select("node", "part", F.shiftleft("t", bits).bitwiseOR(F.shiftright(F.col("part").bitwiseXOR(F.col("m")), top).cast("int")).alias("bucket"), "known", "x2", "x1")
+    sent = part.select("node", "known", "x3", "x2", "x1", "part", "t", row.alias("m"))
+    sent = sent.select("node", "part", F.shiftleft("t", bits).bitwiseOR(F.shiftright(F.col("part").bitwiseXOR(F.col("m")), top).cast("int")).alias("bucket"), "known", "x3", "x2", "x1")
 
     def bundle(held):
-        node, part, bucket, known, x2, x1 = (np.concatenate(x) for x in zip(*held))
+        node, part, bucket, known, *more = (np.concatenate(x) for x in zip(*held))
         part = part.view(np.uint64)
         low = np.uint64((1 << top) - 1)
         stem = (bucket.astype(np.uint64) & np.uint64((1 << bits) - 1)) << np.uint64(top)
@@ -190,11 +190,11 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
         out = [np.zeros((0, 2), np.int64)]
         for at in _bundles(bucket, weight):
             n, u, c = node[at], bucket[at].astype(np.uint64) << np.uint64(PART), known[at]
-            y2, y1 = x2[at].view(np.uint64), x1[at].view(np.uint64)
+            tail = np.stack([x[at] for x in more], 1).view(np.uint64)
             for h, s, rows, low_bits in _dealt(home[at], spent[at], top, int(weight[at].sum())):
                 values, owners = _variants(h | u[rows], s, rows, low_bits)
                 i, j = _pairs(values, owners, c, star)
-                near = _popcount(y2[i] ^ y2[j]).astype(np.int16) + _popcount(y1[i] ^ y1[j]) <= most
+                near = _popcount(tail[i] ^ tail[j]).sum(axis=1, dtype=np.int64) <= most
                 i, j = i[near], j[near]
                 out.append(np.stack([np.minimum(n[i], n[j]), np.maximum(n[i], n[j])], 1))
         pair = np.unique(np.concatenate(out), axis=0)
@@ -204,7 +204,7 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
     def run(batches):
         held, size = [], 0
         for t in batches:
-            cols = [t.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            cols = [t.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
             if held and size >= GATHER:
                 change = np.flatnonzero(cols[2] != held[-1][2][-1])
                 if len(change):
@@ -246,7 +246,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     nodes = written(rows.groupBy("wide").agg(F.min("_key").alias("node"), F.first("parts").alias("parts")).where("node is not null"), "nodes")
     count = nodes.count()
     share = most_bits(similarity) / WIDE
-    most = math.floor(128 * share + 2.5 * math.sqrt(128 * share * (1 - share)))
+    most = math.floor(192 * share + 2 * math.sqrt(192 * share * (1 - share)))
     # First the busiest partners in one table, which joins most of a dense group; then all tables, for
     # pairs of different classes alone.
     first = _checked(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity)
