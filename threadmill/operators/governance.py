@@ -46,7 +46,7 @@ def running_loss(steps: DataFrame, every: int = 100, group: str | None = None) -
     sums = sums.select(*keys, "_range", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
     inside = Window.partitionBy(*keys, "_range").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     all_ = marked.withColumns({"_s": F.sum(exact).over(inside), "_n": F.count("*").over(inside)}).join(sums, [*keys, "_range"])
-    mean = F.round((F.col("_s") + F.col("_s0")).cast("double") / (F.col("_n") + F.col("_n0")), 6)
+    mean = (F.col("_s") + F.col("_s0")).cast("double") / (F.col("_n") + F.col("_n0"))
     return all_.select(*keys, "step", mean.alias("mean_loss"), (F.col("step") % every == 0).alias("logged"))
 
 

@@ -293,7 +293,7 @@ def _down(target: int, mode: str) -> str:
     w3 as (select sender, least((av * lft + total - 1) // total, av) as want, lft from g3, lf where av > 0),
     t3 as (select sender, {third} as t3 from w3),
     o3 as (select o2.*, not s1 and not s2 and row_number() over (partition by o2.sender order by s1 or s2, {_K('42', "'fill'", 'message_id')}, message_id) <= coalesce(t3.t3, 0) as s3 from o2 left join t3 using (sender))
-    select message_id, case when s1 then 1 when s2 then 2 else 3 end as stage from o3 where s1 or s2 or s3"""
+    select message_id, case when (select count(*) from evt) <= {target} then 0 when s1 then 1 when s2 then 2 else 3 end as stage from o3 where s1 or s2 or s3 or (select count(*) from evt) <= {target}"""
 
 
 _BT = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda x: regexp_matches(x, '^[a-z0-9]+$'))"
@@ -350,7 +350,7 @@ ORACLES = {
     "doc_scatter_gather_topk": f"with p as {_TOPV.format('q.vec_id % 50 = 0')} select *, cast(row_number() over (partition by query_id order by distance, doc_id) as integer) as rank from p qualify rank <= 3",
     "doc_hybrid_rerank": f"with {_BM}, l as (select query_id, doc_id, row_number() over (partition by query_id order by score desc, doc_id) as rank from ma where query_id like '%-1' qualify rank <= 20), s as (select query_id, doc_id, row_number() over (partition by query_id order by length(doc_id) desc, doc_id) as rank from ma where query_id like '%-1' qualify rank <= 20), f as (select query_id, doc_id, round(sum(1.0::double / (rank + 60)), 9) as score from (select * from l union all select * from s) group by 1, 2) select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from f qualify rank <= 5",
     "doc_recall_date_cut": f"with {v.ORD}, o as (select message_id, strftime(ts, '%Y-%m-%d') as date from ord) select * from o where message_id <> '1' and date <= '1997-01-01'",
-    "running_loss": "select event_id as step, round(cast(sum(cast(value as decimal(30,9))) over (order by event_id) as double) / count(*) over (order by event_id), 6) as mean_loss, event_id % 100 = 0 as logged from events",
+    "running_loss": "select event_id as step, cast(sum(cast(value as decimal(30,9))) over (order by event_id) as double) / count(*) over (order by event_id) as mean_loss, event_id % 100 = 0 as logged from events",
     "perplexity": "select round(exp(sum(value / 100 * (event_id % 7 + 1)) / sum(event_id % 7 + 1)), 6) as perplexity from events",
     "best_checkpoint": "select event_id as step, value as eval_loss from events order by value, event_id limit 1",
     "needs_retrain": "with l as (select value, row_number() over (order by event_id desc) as r from events) select max(value) filter (r = 2) - max(value) filter (r = 1) < 5.0 as needs_retrain from l",
