@@ -32,7 +32,7 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_threadmill_shipped", False):
         return
     here = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="threadmill-")) / "threadmill.zip"
+    target = Path(tempfile.mkdtemp(prefix="threadmill-")).resolve() / "threadmill.zip"
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(here.rglob("*.py")):
             z.write(p, p.relative_to(here.parent))
