@@ -43,7 +43,7 @@ ANCHOR = 64
 MANY = 2_000
 #: Bytes of text hashed at a time (what stays in cache), and bytes in one suffix array, about.
 CHUNK = 32_000
-ARRAY = 1_000_000
+ARRAY = 400_000
 
 _BASE = 0x9E3779B97F4A7C15
 _CODE = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
