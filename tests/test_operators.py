@@ -110,7 +110,9 @@ def test_missing_length_is_an_error(spark):
         materialize.length_join(rows(spark, [("a",), ("b",)], "message_id string"), rows(spark, [("a", 3)], "message_id string, length long")).collect()
 
 
-def test_guard_equals_all_pairs(spark):
+@pytest.mark.parametrize("broadcast", [20_000, 0])
+def test_guard_equals_all_pairs(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(guard, "BROADCAST_ROWS", broadcast)
     random.seed(5)
     words = [f"w{i}" for i in range(12)]
     data = []

@@ -3,7 +3,8 @@
 Both candidate searches are exact. Jaccard uses prefixes: of two sets with similarity t, the first
 n - ceil(t n) + 1 elements in any common order share one, so only prefixes are joined, and sizes
 must agree within t. Hamming uses blocks: with ``blocks`` blocks and at most h differing bits, at least
-blocks - h blocks are equal, so rows meet on every choice of that many.
+blocks - h blocks are equal, so rows meet on every choice of that many. Up to ``BROADCAST_ROWS`` rows
+(counted first) the fingerprints alone are compared with a broadcast copy, which gives the same pairs.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import hashing, text
 from ..session import written
 
+#: Rows up to which fingerprints (24 bytes each) are compared with a broadcast copy instead of by blocks.
+BROADCAST_ROWS = 20_000
 #: Pairs of splits that are compared, in order.
 SPLIT_PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
 
@@ -56,12 +59,17 @@ def contamination_pairs(prints: DataFrame, similarity: float = 0.7, bits: int =
     by_gram = prints.where(n > 0).select("split", "row_id", n.alias("n"), F.explode(prefix).alias("gram"))
     near = F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-9
     sets = _both_sides(by_gram, ["gram"]).where(near).select("split_a", "row_a", "split_b", "row_b").distinct()
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    parts = [F.shiftrightunsigned("simhash", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(blocks)]
-    keys = [F.xxhash64(F.lit(k), *[parts[i] for i in c]) for k, c in enumerate(itertools.combinations(range(blocks), blocks - bits))]
-    by_block = prints.select("split", "row_id", F.col("simhash").alias("n"), F.explode(F.array(*keys)).alias("block"))
     close = F.bit_count(F.col("na").bitwiseXOR(F.col("nb"))) <= bits
-    bitwise = _both_sides(by_block, ["block"]).where(close).select("split_a", "row_a", "split_b", "row_b").distinct()
+    if prints.count() <= BROADCAST_ROWS:
+        rank = F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
+        one, two = (prints.select(F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}"), rank.alias(f"k{s}"), F.col("simhash").alias(f"n{s}")) for s in "ab")
+        bitwise = one.join(F.broadcast(two), (F.col("ka") < F.col("kb")) & close).select("split_a", "row_a", "split_b", "row_b")
+    else:
+        edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+        parts = [F.shiftrightunsigned("simhash", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(blocks)]
+        keys = [F.xxhash64(F.lit(k), *[parts[i] for i in c]) for k, c in enumerate(itertools.combinations(range(blocks), blocks - bits))]
+        by_block = prints.select("split", "row_id", F.col("simhash").alias("n"), F.explode(F.array(*keys)).alias("block"))
+        bitwise = _both_sides(by_block, ["block"]).where(close).select("split_a", "row_a", "split_b", "row_b").distinct()
     found = sets.unionByName(bitwise).distinct()
     a, b = (prints.select(F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}"), F.col("thread_id").alias(f"thread_{s}"), F.col("grams").alias(f"grams_{s}"), F.col("simhash").alias(f"hash_{s}")) for s in "ab")
     full = found.join(a, ["split_a", "row_a"]).join(b, ["split_b", "row_b"])
