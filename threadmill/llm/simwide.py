@@ -250,7 +250,6 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     # First the busiest partners in one table, which joins most of a dense group; then all tables, for
     # pairs of different classes alone.
     first = _checked(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity)
-    first = first.groupBy("b").agg(F.min("a").alias("a"))  # one partner each; the second pass finds what that leaves out
     early = written(components(first), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
     later = _checked(candidates(told, count, most), nodes, similarity)
