@@ -131,6 +131,32 @@ def test_wide_classes_hold_what_is_similar(spark, docs, none):
     assert {5, 8, 13} <= {r.doc_id for r in kept.collect()}
 
 
+def jaccard(a, b):
+    x, y = (set(zip(*(t.lower().split()[i:] for i in range(5)))) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def edited(random, words, base, n):
+    """``base`` with ``n`` words changed, five places or more apart."""
+    copy = list(base)
+    for at in random.sample(range(2, len(base) - 2, 5), n):
+        copy[at] = random.choice(words) + "x"
+    return copy
+
+
+def test_wide_pairs_are_decided_by_exact_similarity(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2_000)]
+    rows = []
+    for i in range(300):
+        base = [rng.choice(words) for _ in range(200)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited(rng, words, base, 3 + i % 4)))]
+    near = {i: jaccard(rows[2 * i][1], rows[2 * i + 1][1]) for i in range(300)}
+    assert min(near.values()) < 0.75 and max(near.values()) > 0.85 and 50 < sum(0.75 <= x < 0.8 for x in near.values())
+    got = {r.doc_id: r.component_id for r in simwide.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in near if near[i] < 0.8 and got[2 * i + 1] != 2 * i + 1] == []
+
+
 def test_wide_variants_are_the_same_when_dealt_again():
     import numpy as np
 

@@ -22,6 +22,7 @@ a shingle is one shingle.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 
@@ -45,6 +46,10 @@ HOME = 16_000
 #: Owners of a variant that are paired all, and owners that each is paired with where there are more.
 ALL_PAIRS = 6
 HUBS = 2
+#: Deviations of the number of differing bits that pairs are given before they are checked exactly.
+SLACK = 4.0
+#: Hash values by which sets to check are chosen: the most rows of a broadcast.
+SPOTS = 1 << 20
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Eight lanes of one byte for the eight bits of a byte, first bit in the first lane.
@@ -76,7 +81,16 @@ def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
 
 def wide_fingerprint(text: str | None, words: int = 5) -> np.ndarray:
     """``WIDE`` bits as words of 64: the majority of the distinct shingles' bits."""
-    h = shingle_hashes(text, words)
+    return wide_of(shingle_hashes(text, words))
+
+
+def _ascending(h: np.ndarray) -> np.ndarray:
+    """Hashes in the order of signed longs."""
+    return np.sort(h.view(np.int64)).view(np.uint64)
+
+
+def wide_of(h: np.ndarray) -> np.ndarray:
+    """The fingerprint of distinct shingle hashes."""
     if not len(h):
         return np.zeros(WIDE // 64, np.uint64)
     counts = np.zeros(WIDE, np.uint32)
@@ -222,11 +236,44 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _checked(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose wide fingerprints are as close as this similarity asks."""
+def similarity_of(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two ascending arrays of distinct values; 1 of two empty ones."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared) if len(both) else 1.0
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose shingle sets (``node``, ``set``: ascending) are at least this similar, exactly.
+
+    Only sets that some pair asks for are shuffled, and a few more: they are chosen by ``SPOTS`` hash values.
+    """
+    pairs = written(pairs, "candidates")
+    spot = F.pmod(F.xxhash64("node"), F.lit(SPOTS))
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(spot.alias("_spot")).distinct()
+    some = sets.withColumn("_spot", spot).join(F.broadcast(asked), "_spot", "left_semi")
+    one, two = (some.select(F.col("node").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
+
+    def run(batches):
+        for t in batches:
+            x, y = (t.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            near = pa.array([similarity_of(i, j) >= similarity for i, j in zip(x, y)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([t.column(0).filter(near), t.column(1).filter(near)], ["a", "b"])
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _close(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose wide fingerprints leave such a similarity possible, up to ``SLACK`` deviations."""
     one, two = (nodes.select(F.col("node").alias(k), F.col("wide").alias(f"w{k}")) for k in "ab")
     apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return pairs.join(one, "a").join(two, "b").where(apart <= most_bits(similarity)).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(apart <= most_bits(similarity, SLACK)).select("a", "b")
+
+
+def _tree(classes: DataFrame) -> DataFrame:
+    """Classes as pairs."""
+    return classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -234,29 +281,37 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
 
     def prints(batches):
         for b in batches:
-            wide = np.array([wide_fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).reshape(-1, WIDE // 64)
+            sets = [shingle_hashes(t, words) for t in b.column(2).to_pylist()]
+            wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
             n = len(wide)
             parts = parts_of(wide) if n else np.zeros((0, TABLES), np.uint64)
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (wide, parts)]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *lists], ["_key", "wide", "parts"])
-
-    source = df.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    rows = written(source.mapInArrow(prints, "_key long, wide array<long>, parts array<long>"), "wide-fingerprints")
-    # Equal fingerprints are one node, named by its least id.
-    nodes = written(rows.groupBy("wide").agg(F.min("_key").alias("node"), F.first("parts").alias("parts")).where("node is not null"), "nodes")
+            ends = np.concatenate([[0], np.cumsum([len(h) for h in sets], dtype=np.int64)])
+            lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *(_ascending(h) for h in sets)]).view(np.int64))))
+            digest = pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), digest, *lists], ["_row", "_key", "digest", "wide", "parts", "set"])
+
+    source = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
+    rows = written(source.mapInArrow(prints, "_row long, _key long, digest binary, wide array<long>, parts array<long>, set array<long>"), "wide-fingerprints")
+    # Equal sets are one node, named by a row of it.
+    least = written(rows.groupBy("digest").agg(F.min("_row").alias("node"), F.min("_key").alias("least")), "least")
+    named = least.select("node")
+    nodes = written(rows.select(F.col("_row").alias("node"), "wide", "parts").join(realigned(named, "node"), "node"), "nodes")
+    sets = rows.select(F.col("_row").alias("node"), "set")
     count = nodes.count()
-    share = most_bits(similarity) / WIDE
+    share = most_bits(similarity, 0) / WIDE
     most = math.floor(192 * share + 2 * math.sqrt(192 * share * (1 - share)))
     # First the busiest partners in one table, which joins most of a dense group; then all tables, for
     # pairs of different classes alone.
-    first = _checked(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity)
+    first = _checked(_close(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity), sets, similarity)
     early = written(components(first), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
-    later = _checked(candidates(told, count, most), nodes, similarity)
-    classes = components(later.unionByName(early.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    of_print = nodes.join(classes, "node", "left").select("wide", F.coalesce("component", "node").alias("component_id"))
-    hashed = F.xxhash64("wide")
-    return rows.withColumn("_w", hashed).join(of_print.withColumn("_w", hashed), ["_w", "wide"], "left").select(F.col("_key").alias(key), "component_id")
+    later = _checked(_close(candidates(told, count, most), nodes, similarity), sets, similarity)
+    classes = components(later.unionByName(_tree(early)))
+    of_node = least.join(classes, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("class"))
+    of_class = of_node.groupBy("class").agg(F.min("least").alias("component_id"))
+    of_print = of_node.join(realigned(of_class, "class"), "class").select("digest", "component_id")
+    return rows.select("_key", "digest").join(of_print, "digest").select(F.col("_key").alias(key), "component_id")
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
