@@ -157,6 +157,38 @@ def test_wide_pairs_are_decided_by_exact_similarity(spark):
     assert [i for i in near if near[i] < 0.8 and got[2 * i + 1] != 2 * i + 1] == []
 
 
+def test_wide_links_inside_a_crowd_of_alike_texts(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(2_000)]
+    base = [rng.choice(words) for _ in range(300)]
+    rows = [" ".join(edited(rng, words, base, 4)) for _ in range(12)]  # one class
+    for _ in range(40):  # less alike than 0.8 to one another, each with a copy of about 0.8
+        own = edited(rng, words, base, 7)
+        rows += [" ".join(own), " ".join(edited(rng, words, own, 6))]
+    want = classes(range(len(rows)), lambda a, b: jaccard(rows[a], rows[b]) >= 0.8)
+    assert len(set(want.values())) > 10
+    got = {r.doc_id: r.component_id for r in simwide.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_wide_search_between_classes_leaves_out_no_pair(spark):
+    import numpy as np
+
+    rng = random.Random(10)
+    sets = [sorted(rng.sample(range(60), rng.randint(0, 40))) for _ in range(60)]
+    for s in list(sets):
+        sets += [sorted({*s[rng.randint(0, 3) :], *rng.sample(range(60), rng.randint(0, 3))}) for _ in range(3)]
+    sets = [list(x) for x in dict.fromkeys(map(tuple, sets))]
+    known = {i: i - i % 3 for i in range(len(sets))}
+    rows = spark.createDataFrame(list(enumerate(sets)), "node long, set array<long>").repartition(3)
+    told = spark.createDataFrame(list(known.items()), "node long, known long")
+    want = {(a, b) for a, b in itertools.combinations(known, 2) if known[a] != known[b] and sets[a] and len({*sets[a]} & {*sets[b]}) / len({*sets[a], *sets[b]}) >= 0.8}
+    assert len(want) > 50
+    for often in ([], [3, 7, 50], list(range(60))):
+        got = {tuple(r) for r in simwide.remaining(simwide.prefixes(rows, np.array(often, np.int64), 0.8), told, 0.8).collect()}
+        assert want <= got
+
+
 def test_wide_variants_are_the_same_when_dealt_again():
     import numpy as np
 

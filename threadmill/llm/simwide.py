@@ -4,17 +4,23 @@ Texts of Jaccard similarity 0.8 differ in 15 % of SimHash bits, too many for one
 would have to be searched up to 10 apart. So a wide fingerprint (``WIDE`` bits) is kept for checking, and
 ``TABLES`` parts of it, ``PART`` bits each, are searched for neighbours at most 4 bits apart by
 meet-in-the-middle ball hashing: each part emits all variants within 2 bits, variants meet in a
-shuffle, and colliding pairs are checked on the wide fingerprint. A pair of similarity 0.8 meets in
+shuffle, and colliding pairs that are close in the wide fingerprint are decided by the exact Jaccard
+similarity of their shingle sets (64-bit hashes). A pair of similarity 0.8 meets in
 one of the tables with a probability of 0.96 (its copies add to that), a random pair of
 part values with one of 1e-6.
 
 The shuffle is factored as in ``simhash``: variants travel by their leading bits, and the rest is
 written out after it. The number of leading bits follows the number of fingerprints, so that a bucket
-stays a few tens of thousands. Equal fingerprints are one node. Up to ``ALL_PAIRS`` owners of a variant are
+stays a few tens of thousands. Equal sets are one node. Up to ``ALL_PAIRS`` owners of a variant are
 paired all; of more, each is paired with the ``HUBS`` that share most variants with others: an original
 among its edited copies. A first pass over one table pairs each owner with the busiest alone and joins most
-of a dense group; the pass over all tables leaves out pairs of one class, so that pairs stay in
-proportion to rows. Rows carry 192 bits more, by which most false pairs are known at once. Checking is SQL: joins on the node and counts of differing bits.
+of a dense group; the pass over all tables leaves out pairs of one class. Rows carry 192 bits more, by
+which most false pairs are known at once.
+
+These passes find most classes cheaply but may miss links, so a last pass leaves nothing to chance
+(``remaining``): sets of similarity t share a shingle in their prefixes, the first n - ceil(t n) + 1
+shingles in one order of all. All pairs of different classes that meet in such a shingle are decided exactly; those of
+one class need not be. Frequent shingles come last in the order, which keeps their meetings few.
 
 Defined results: as in ``simhash``; texts without words share one class; a text of fewer words than
 a shingle is one shingle.
@@ -48,6 +54,10 @@ ALL_PAIRS = 6
 HUBS = 2
 #: Deviations of the number of differing bits that pairs are given before they are checked exactly.
 SLACK = 4.0
+#: Sets in the sample of frequent shingles, how many of them hold one that counts as frequent, and the most that are known.
+SAMPLE = 20_000
+OFTEN = 20
+FREQUENT = 50_000
 #: Hash values by which sets to check are chosen: the most rows of a broadcast.
 SPOTS = 1 << 20
 
@@ -179,6 +189,25 @@ def _dealt(home: np.ndarray, spent: np.ndarray, top: int, variants: int):
         yield stem[at], cost[at], row[at], top - s
 
 
+def _gathered(batches, key: int):
+    """Lists of batches' columns: about GATHER rows, cut where the sorted column at ``key`` changes."""
+    held, size = [], 0
+    for t in batches:
+        cols = [x.to_numpy(zero_copy_only=False) for x in t.columns]
+        if held and size >= GATHER:
+            change = np.flatnonzero(cols[key] != held[-1][key][-1])
+            if len(change):
+                cut = change[0]
+                held.append([c[:cut] for c in cols])
+                yield held
+                held, size, cols = [], 0, [c[cut:] for c in cols]
+        if len(cols[0]):
+            held.append(cols)
+            size += len(cols[0])
+    if held:
+        yield held
+
+
 def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, star: bool = False) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of nodes of different classes that share a variant in some table.
 
@@ -216,26 +245,89 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
     def run(batches):
-        held, size = [], 0
-        for t in batches:
-            cols = [t.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
-            if held and size >= GATHER:
-                change = np.flatnonzero(cols[2] != held[-1][2][-1])
-                if len(change):
-                    cut = change[0]
-                    held.append([c[:cut] for c in cols])
-                    yield bundle(held)
-                    held, size, cols = [], 0, [c[cut:] for c in cols]
-            if len(cols[0]):
-                held.append(cols)
-                size += len(cols[0])
-        if held:
+        for held in _gathered(batches, 2):
             yield bundle(held)
 
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def frequent(rows: DataFrame, count: int) -> np.ndarray:
+    """Shingles that many of a sample of the sets hold, ascending. Which they are changes no result."""
+    sample = rows.where(F.pmod(F.xxhash64("digest"), F.lit(max(1, count // SAMPLE))) == 0)
+    found = sample.select(F.explode("set").alias("h")).groupBy("h").count().where(F.col("count") >= OFTEN)
+    return np.sort(np.array([r.h for r in found.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()], np.int64))
+
+
+def prefixes(rows: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
+    """``node``, size ``n`` and ``prefix`` of each set: so many of its shingles, frequent ones last, then by
+    value, that two sets of this similarity have their first common shingle in both prefixes."""
+
+    def run(batches):
+        for t in batches:
+            n = t.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            h = t.column(1).flatten().to_numpy(zero_copy_only=False)
+            late = np.isin(h, often)
+            h = h[np.argsort(np.repeat(np.arange(len(n)) * 2, n) + late, kind="stable")]
+            keep = np.where(n > 0, n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, 0)
+            at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+            ends = np.append(0, np.cumsum(keep))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[at < np.repeat(keep, n)], pa.int64()))
+            yield pa.RecordBatch.from_arrays([t.column(0), pa.array(n, pa.int32()), lists], ["node", "n", "prefix"])
+
+    return rows.select("node", "set").mapInArrow(run, "node long, n int, prefix array<long>")
+
+
+def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of equal ``h`` and different classes that may be so similar.
+
+    ``at``: the shingle's place in a row's set of ``n``. A pair is left out if the places from there on are too
+    few; at the first common shingle they are not, if it is so similar. ``h`` is ascending.
+    """
+    group = np.cumsum(np.append(0, h[1:] != h[:-1]))
+    by = np.lexsort((known, group))
+    run = np.cumsum(np.append(0, (np.diff(group[by]) != 0) | (np.diff(known[by]) != 0)))
+    size = np.bincount(run)[run]
+    # The largest class of each group comes last: its members are not compared with one another.
+    by = by[np.lexsort((run, size, group[by]))]
+    g, c = group[by], known[by]
+    last = np.append(g[1:] != g[:-1], True)
+    of_last = c[last][g]
+    start = np.flatnonzero(np.append(True, g[1:] != g[:-1]))[g]
+    others = np.bincount(g, c != of_last).astype(np.int64)[g]
+    index = np.flatnonzero(others > 0)
+    out = [np.zeros((0, 2), np.int64)]
+    step = 0
+    while True:  # the member at this place of its group with all later ones
+        index = index[(index - start[index] > step) & (others[index] > step)]
+        if not len(index):
+            break
+        i, j = by[start[index] + step], by[index]
+        need = similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9
+        ok = (known[i] != known[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
+        out.append(np.stack([i[ok], j[ok]], 1))
+        step += 1
+    pair = np.concatenate(out)
+    return pair[:, 0], pair[:, 1]
+
+
+def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of nodes of different classes: all that may be this similar.
+
+    ``prefix`` as ``prefixes`` makes it; ``known``: ``node``, ``known``.
+    """
+    sent = prefix.join(known, "node").select("node", "n", "known", F.posexplode("prefix").alias("at", "h"))
+
+    def run(batches):
+        for held in _gathered(batches, 4):
+            node, n, known, at, h = (np.concatenate(x) for x in zip(*held))
+            i, j = _across(h, at.astype(np.int64), n.astype(np.int64), known, similarity)
+            pair = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+
+    return sent.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long").distinct()
+
+
 def similarity_of(x: np.ndarray, y: np.ndarray) -> float:
     """Jaccard similarity of two ascending arrays of distinct values; 1 of two empty ones."""
     both = np.concatenate([x, y])
@@ -307,7 +399,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     early = written(components(first), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
     later = _checked(_close(candidates(told, count, most), nodes, similarity), sets, similarity)
-    classes = components(later.unionByName(_tree(early)))
+    # The search so far may have missed pairs: what is left between classes is searched exactly.
+    found = written(components(later.unionByName(_tree(early))), "found-classes")
+    of_sets = rows.select(F.col("_row").alias("node"), "digest", "set")
+    told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
+    rest = _checked(remaining(prefixes(of_sets, frequent(of_sets, count), similarity), told, similarity), sets, similarity)
+    classes = components(rest.unionByName(_tree(found)))
     of_node = least.join(classes, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("class"))
     of_class = of_node.groupBy("class").agg(F.min("least").alias("component_id"))
     of_print = of_node.join(realigned(of_class, "class"), "class").select("digest", "component_id")
