@@ -189,6 +189,19 @@ def test_wide_search_between_classes_leaves_out_no_pair(spark):
         assert want <= got
 
 
+def test_wide_pairs_at_the_similarity_are_all_found(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(2_000)]
+    rows = []
+    for i in range(400):
+        base = [rng.choice(words) for _ in range(229)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited(rng, words, base, 4 + i % 2)))]
+    near = {i: jaccard(rows[2 * i][1], rows[2 * i + 1][1]) for i in range(400)}
+    assert sum(0.8 <= x < 0.85 for x in near.values()) > 300
+    got = {r.doc_id: r.component_id for r in simwide.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in near if (got[2 * i + 1] == 2 * i) != (near[i] >= 0.8)] == []
+
+
 def test_wide_variants_are_the_same_when_dealt_again():
     import numpy as np
 

@@ -392,7 +392,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     sets = rows.select(F.col("_row").alias("node"), "set")
     count = nodes.count()
     share = most_bits(similarity, 0) / WIDE
-    most = math.floor(192 * share + 2 * math.sqrt(192 * share * (1 - share)))
+    most = math.floor(192 * share + SLACK * math.sqrt(192 * share * (1 - share)))
     # First the busiest partners in one table, which joins most of a dense group; then all tables, for
     # pairs of different classes alone.
     first = _checked(_close(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity), sets, similarity)
