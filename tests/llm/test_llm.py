@@ -202,6 +202,14 @@ def test_wide_pairs_at_the_similarity_are_all_found(spark):
     assert [i for i in near if (got[2 * i + 1] == 2 * i) != (near[i] >= 0.8)] == []
 
 
+def test_keep_one_keeps_one_row_of_a_class_whatever_its_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a, "p"), (None, a, "q"), (None, b, "r"), (None, b, "s"), (5, c, "t"), (5, c, "u"), (7, c, "v"), (8, d, "w"), (8, a, "x"), (9, d, "y"), (None, None, "z")]
+    kept = simwide.keep_one(spark.createDataFrame(rows, "doc_id long, text string, `n.m` string").repartition(3))
+    assert kept.columns == ["doc_id", "text", "n.m"]
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted([(1, a), (None, b), (5, c), (8, d), (None, None)], key=str)
+
+
 def test_wide_variants_are_the_same_when_dealt_again():
     import numpy as np
 

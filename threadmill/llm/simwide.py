@@ -368,12 +368,12 @@ def _tree(classes: DataFrame) -> DataFrame:
     return classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
-def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``key`` and ``component_id`` (least ``key`` of the class) of every row."""
+def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs), ``_text``."""
 
     def prints(batches):
         for b in batches:
-            sets = [shingle_hashes(t, words) for t in b.column(2).to_pylist()]
+            sets = [shingle_hashes(t, words) for t in b.column(3).to_pylist()]
             wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
             n = len(wide)
             parts = parts_of(wide) if n else np.zeros((0, TABLES), np.uint64)
@@ -381,13 +381,13 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
             ends = np.concatenate([[0], np.cumsum([len(h) for h in sets], dtype=np.int64)])
             lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *(_ascending(h) for h in sets)]).view(np.int64))))
             digest = pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), digest, *lists], ["_row", "_key", "digest", "wide", "parts", "set"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], digest, *lists], ["_row", "_key", "_odd", "digest", "wide", "parts", "set"])
 
-    source = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    rows = written(source.mapInArrow(prints, "_row long, _key long, digest binary, wide array<long>, parts array<long>, set array<long>"), "wide-fingerprints")
+    source = source.select(F.monotonically_increasing_id().alias("_row"), "_key", "_odd", "_text")
+    rows = written(source.mapInArrow(prints, "_row long, _key long, _odd long, digest binary, wide array<long>, parts array<long>, set array<long>"), "wide-fingerprints")
     # Equal sets are one node, named by a row of it.
-    least = written(rows.groupBy("digest").agg(F.min("_row").alias("node"), F.min("_key").alias("least")), "least")
-    named = least.select("node")
+    of_digest = written(rows.groupBy("digest").agg(F.min("_row").alias("node")), "digests")
+    named = of_digest.select("node")
     nodes = written(rows.select(F.col("_row").alias("node"), "wide", "parts").join(realigned(named, "node"), "node"), "nodes")
     sets = rows.select(F.col("_row").alias("node"), "set")
     count = nodes.count()
@@ -405,17 +405,36 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
     rest = _checked(remaining(prefixes(of_sets, frequent(of_sets, count), similarity), told, similarity), sets, similarity)
     classes = components(rest.unionByName(_tree(found)))
-    of_node = least.join(classes, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("class"))
-    of_class = of_node.groupBy("class").agg(F.min("least").alias("component_id"))
-    of_print = of_node.join(realigned(of_class, "class"), "class").select("digest", "component_id")
-    return rows.select("_key", "digest").join(of_print, "digest").select(F.col("_key").alias(key), "component_id")
+    of_print = of_digest.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
+    return rows.select("_key", "_odd", "digest").join(of_print, "digest").select("_key", "_odd", "class")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``key`` and ``component_id`` (least ``key`` of the class) of every row."""
+    source = df.select(F.col(key).cast("long").alias("_key"), F.lit(None).cast("long").alias("_odd"), F.col(text).alias("_text"))
+    rows = written(_classes(source, words, similarity), "classes")
+    least = rows.groupBy("class").agg(F.min("_key").alias("component_id"))
+    return rows.join(realigned(least, "class"), "class").select(F.col("_key").alias(key), "component_id")
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows of ``df`` that stand for their class: the row with the least ``key`` of each.
+    """One row of ``df`` for each class: the row with the least ``key``, nulls last, any one of equals.
 
-    Repeated rows of the least key all stay, as do rows with a null key that no other row resembles.
+    Rows whose ``key`` is null or repeated are written and numbered (``_odd``), all others are known by it.
     """
-    found = near_duplicates(df, text, key, words, similarity)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return df.join(realigned(gone, "_gone"), df[key] == F.col("_gone"), "left_anti")
+    of_key = F.col(key).cast("long")
+    times = df.groupBy(of_key.alias("_key")).count()
+    again = written(times.where("count > 1 and _key is not null").select("_key"), "repeated-ids")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    whole = df.select(of_key.alias("_key"), F.struct(*columns).alias("_of"))
+    repeated = whole.join(again, "_key", "left_semi").unionByName(whole.where("_key is null"))
+    odd = written(repeated.withColumn("_odd", F.monotonically_increasing_id()), "odd-rows")
+    plain = whole.where("_key is not null").join(again, "_key", "left_anti")
+    of_text = F.col("_of").getField(text).alias("_text")
+    source = plain.select("_key", F.lit(None).cast("long").alias("_odd"), of_text).unionByName(odd.select("_key", "_odd", of_text))
+    first = F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "_odd"))
+    kept = written(_classes(source, words, similarity).groupBy("class").agg(first.alias("f")).select("f._key", "f._odd"), "kept")
+    plainly = kept.where("_odd is null").select("_key")
+    oddly = kept.where("_odd is not null").select("_odd")
+    stay = plain.join(realigned(plainly, "_key"), "_key", "left_semi").select("_of").unionByName(odd.join(oddly, "_odd", "left_semi").select("_of"))
+    return stay.select("_of.*")
