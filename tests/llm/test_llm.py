@@ -185,7 +185,8 @@ def test_wide_search_between_classes_leaves_out_no_pair(spark):
     want = {(a, b) for a, b in itertools.combinations(known, 2) if known[a] != known[b] and sets[a] and len({*sets[a]} & {*sets[b]}) / len({*sets[a], *sets[b]}) >= 0.8}
     assert len(want) > 50
     for often in ([], [3, 7, 50], list(range(60))):
-        got = {tuple(r) for r in simwide.remaining(simwide.prefixes(rows, np.array(often, np.int64), 0.8), told, 0.8).collect()}
+        prefix = simwide.prefixes(rows, np.array(often, np.int64), 0.8)
+        got = {tuple(r) for r in simwide.possible(simwide.remaining(prefix, told, 0.8), prefix, 0.8).collect()}
         assert want <= got
 
 

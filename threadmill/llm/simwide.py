@@ -261,7 +261,8 @@ def frequent(rows: DataFrame, count: int) -> np.ndarray:
 
 def prefixes(rows: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
     """``node``, size ``n`` and ``prefix`` of each set: so many of its shingles, frequent ones last, then by
-    value, that two sets of this similarity have their first common shingle in both prefixes."""
+    value, that two sets of this similarity have their first common shingle in both prefixes. ``low``: the
+    last 16 bits of each."""
 
     def run(batches):
         for t in batches:
@@ -272,10 +273,12 @@ def prefixes(rows: DataFrame, often: np.ndarray, similarity: float) -> DataFrame
             keep = np.where(n > 0, n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, 0)
             at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
             ends = np.append(0, np.cumsum(keep))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[at < np.repeat(keep, n)], pa.int64()))
-            yield pa.RecordBatch.from_arrays([t.column(0), pa.array(n, pa.int32()), lists], ["node", "n", "prefix"])
+            h = h[at < np.repeat(keep, n)]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h, pa.int64()))
+            low = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(h.astype(np.uint16))])
+            yield pa.RecordBatch.from_arrays([t.column(0), pa.array(n, pa.int32()), lists, low], ["node", "n", "prefix", "low"])
 
-    return rows.select("node", "set").mapInArrow(run, "node long, n int, prefix array<long>")
+    return rows.select("node", "set").mapInArrow(run, "node long, n int, prefix array<long>, low binary")
 
 
 def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -328,6 +331,30 @@ def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFra
     return sent.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long").distinct()
 
 
+def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFrame:
+    """Pairs without those whose prefixes share too little for the similarity.
+
+    Up to where the first of two prefixes ends, what is common is in both; of the rest, all may be. Shingles
+    that agree in 16 bits count as common, which leaves out no pair.
+    """
+    one, two = (prefix.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("low").alias(f"l{k}")) for k in "ab")
+
+    def run(batches):
+        for t in batches:
+            n, low, size = [], [], []
+            for i in (2, 3):
+                n.append(t.column(i).to_numpy(zero_copy_only=False).astype(np.int64))
+                held = t.column(i + 2).to_pylist()
+                size.append(np.array([len(x) // 2 for x in held], np.int64))
+                low.append(np.repeat(np.arange(len(held)) << 16, size[-1]) | np.frombuffer(b"".join(held), np.uint16))
+            both = np.bincount(low[0][np.isin(low[0], low[1])] >> 16, minlength=t.num_rows)
+            near = both + np.maximum(n[0] - size[0], n[1] - size[1]) >= similarity / (1 + similarity) * (n[0] + n[1]) - 1e-9
+            near = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([t.column(0).filter(near), t.column(1).filter(near)], ["a", "b"])
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "la", "lb").mapInArrow(run, "a long, b long")
+
+
 def similarity_of(x: np.ndarray, y: np.ndarray) -> float:
     """Jaccard similarity of two ascending arrays of distinct values; 1 of two empty ones."""
     both = np.concatenate([x, y])
@@ -403,7 +430,8 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     found = written(components(later.unionByName(_tree(early))), "found-classes")
     of_sets = rows.select(F.col("_row").alias("node"), "digest", "set")
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
-    rest = _checked(remaining(prefixes(of_sets, frequent(of_sets, count), similarity), told, similarity), sets, similarity)
+    prefix = prefixes(of_sets, frequent(of_sets, count), similarity)
+    rest = _checked(possible(remaining(prefix, told, similarity), prefix, similarity), sets, similarity)
     classes = components(rest.unionByName(_tree(found)))
     of_print = of_digest.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     return rows.select("_key", "_odd", "digest").join(of_print, "digest").select("_key", "_odd", "class")
