@@ -58,6 +58,8 @@ SLACK = 4.0
 SAMPLE = 20_000
 OFTEN = 20
 FREQUENT = 50_000
+#: Rows whose shingle sets a task works on at a time.
+SLICE = 500
 #: Hash values by which sets to check are chosen: the most rows of a broadcast.
 SPOTS = 1 << 20
 
@@ -189,6 +191,13 @@ def _dealt(home: np.ndarray, spent: np.ndarray, top: int, variants: int):
         yield stem[at], cost[at], row[at], top - s
 
 
+def _sliced(batches):
+    """Batches of ``SLICE`` rows at most: whole ones of shingle sets take much memory."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def _gathered(batches, key: int):
     """Lists of batches' columns: about GATHER rows, cut where the sorted column at ``key`` changes."""
     held, size = [], 0
@@ -265,7 +274,7 @@ def prefixes(rows: DataFrame, often: np.ndarray, similarity: float) -> DataFrame
     last 16 bits of each."""
 
     def run(batches):
-        for t in batches:
+        for t in _sliced(batches):
             n = t.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             h = t.column(1).flatten().to_numpy(zero_copy_only=False)
             late = np.isin(h, often)
@@ -355,14 +364,6 @@ def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "la", "lb").mapInArrow(run, "a long, b long")
 
 
-def similarity_of(x: np.ndarray, y: np.ndarray) -> float:
-    """Jaccard similarity of two ascending arrays of distinct values; 1 of two empty ones."""
-    both = np.concatenate([x, y])
-    both.sort(kind="stable")
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared / (len(both) - shared) if len(both) else 1.0
-
-
 def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose shingle sets (``node``, ``set``: ascending) are at least this similar, exactly.
 
@@ -374,13 +375,8 @@ def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     some = sets.withColumn("_spot", spot).join(F.broadcast(asked), "_spot", "left_semi")
     one, two = (some.select(F.col("node").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
 
-    def run(batches):
-        for t in batches:
-            x, y = (t.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            near = pa.array([similarity_of(i, j) >= similarity for i, j in zip(x, y)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([t.column(0).filter(near), t.column(1).filter(near)], ["a", "b"])
-
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(one, "a").join(two, "b").where(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b")
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -399,7 +395,7 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs), ``_text``."""
 
     def prints(batches):
-        for b in batches:
+        for b in _sliced(batches):
             sets = [shingle_hashes(t, words) for t in b.column(3).to_pylist()]
             wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
             n = len(wide)
