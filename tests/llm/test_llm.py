@@ -284,10 +284,33 @@ def test_op3_links_orders_and_checks(spark):
 
 
 def test_op3_levels_of_long_chains_and_wide_graphs(spark):
-    chain = spark.createDataFrame([(f"n{i}", [f"n{i - 1}"] if i else []) for i in range(70)], "call_id string, after array<string>")
-    assert {r._call: r.level for r in chat.levels(chain).collect()} == {f"n{i}": i for i in range(1, 70)}
-    dag = spark.createDataFrame([("a", []), ("b", ["a"]), ("c", ["a", "b"]), ("d", ["c", "x"]), ("x", ["y"]), ("y", ["x"])], "call_id string, after array<string>")
-    assert {r._call: r.level for r in chat.levels(dag).collect()} == {"b": 1, "c": 2, "d": None, "x": None, "y": None}
+    kinds = "conv_id long, call_id string, after array<string>"
+    found = lambda rows: {json.loads(r._call).get("c"): r.level for r in chat.levels(spark.createDataFrame([(1, *x) for x in rows], kinds)).collect()}
+    assert found([(f"n{i}", [f"n{i - 1}"] if i else []) for i in range(70)]) == {f"n{i}": i for i in range(1, 70)}
+    assert found([("a", []), ("b", ["a"]), ("c", ["a", "b"]), ("d", ["c", "x"]), ("x", ["y"]), ("y", ["x"])]) == {"b": 1, "c": 2, "d": None, "x": None, "y": None}
+
+
+def test_op3_levels_of_deep_graphs_with_two_parents(spark, monkeypatch):
+    """Deeper than the tables that are put together at a time; two conversations use the same identifiers."""
+    monkeypatch.setattr(chat, "FOLD", 4)
+    depth = 2 * chat.FOLD + 3
+    rows = [(v, f"n{i}", [f"n{j}" for j in (i - 1, i - 2) if j >= 0]) for v, n in ((1, depth), (2, 5)) for i in range(n)]
+    got = {tuple(json.loads(r._call).values()): r.level for r in chat.levels(spark.createDataFrame(rows, "conv_id long, call_id string, after array<string>")).collect()}
+    assert got == {(v, f"n{i}"): i for v, n in ((1, depth), (2, 5)) for i in range(1, n)}
+
+
+def test_op3_identifiers_count_inside_their_conversation(spark):
+    long = "x" * 200_000
+    calls = spark.createDataFrame([("A", "call_1", 1, "f", "{}", []), ("B", "call_1", 1, "f", '{"x": "%s"}' % long, ["call_1"]), ("B", "call_2", 3, "f", "{}", ["call_1"]), (None, "call_1", 1, "f", "", None), ("A", "call_2", 5, None, None, ["call_9"])], "conv_id string, call_id string, turn long, name string, arguments string, after array<string>")
+    results = spark.createDataFrame([("A", "call_1", 2, "of A"), ("B", "call_1", 2, long), (None, "call_1", 3, "of none"), ("C", "call_1", 2, None)], "conv_id string, call_id string, turn long, content string")
+    schemas = spark.createDataFrame([("f", [("x", "string", False)])], "name string, fields array<struct<field: string, type: string, required: boolean>>")
+    extra = ["_id", "_r", "_call", "level", "status", "_parent", "_fields"]
+    calls, results = (df.withColumns({c: F.lit(1) for c in extra}) for df in (calls, results))
+    got = {(r.conv_id, r.call_id): r for r in chat.linked(calls, results, schemas.withColumn("conv_id", F.lit(1))).collect()}
+    assert len(got) == 6
+    assert {k: json.loads(r.message)["result"] for k, r in got.items()} == {("A", "call_1"): "of A", ("B", "call_1"): long, ("B", "call_2"): None, (None, "call_1"): "of none", ("A", "call_2"): None, ("C", "call_1"): None}
+    assert {k: r.status for k, r in got.items()} == {("A", "call_1"): "linked", ("B", "call_1"): "linked", ("B", "call_2"): "open", (None, "call_1"): "linked", ("A", "call_2"): "open", ("C", "call_1"): "orphan"}
+    assert got["B", "call_2"].level == 1 and got["B", "call_1"].level == got["A", "call_2"].level == 0
 
 
 def test_op3_equals_sql(spark, sf, duck):

@@ -1,7 +1,8 @@
 """Tool calls of chats: linked to results, ordered, checked against schemas, serialised.
 
 Everything here is DataFrame and SQL functions. Calls and results meet in a hash join by
-identifier; results of one identifier are reduced to the first before it. A call's level is the
+conversation and identifier (an identifier is unique in its conversation only); results of one identifier are
+reduced to the first before it. A call's level is the
 length of the longest chain of calls it must follow: pointer doubling where each call follows
 one other at most, else rounds that peel off calls nothing waits for. Arguments are parsed as variants,
 whose objects hold their keys in order, so that ``to_json`` of a variant is canonical: sorted keys,
@@ -10,8 +11,8 @@ no white space, plain numbers.
 Defined results: of several results of one call the one with the least turn (then content) is taken;
 a result without a call is a row of status ``orphan``; calls that wait for each other have status
 ``cycle`` and a null level; unknown, repeated or own identifiers in ``after`` are ignored; calls with a null id
-are ``unnamed`` and link to nothing; equal identifiers of several calls give a row each, all linked
-to the same result; arguments that are no JSON object are invalid and appear as null; tools without schema
+are ``unnamed`` and link to nothing; equal identifiers of several calls of a conversation give a row each, all linked
+to the same result; rows of a null conversation form one; arguments that are no JSON object are invalid and appear as null; tools without schema
 are invalid; empty tables give empty results.
 """
 
@@ -24,6 +25,8 @@ from .storage import realigned, written
 
 #: Rows of a schema table that is broadcast, at most.
 BROADCAST_SCHEMAS = 10_000
+#: Rounds of a deep graph whose levels are put together in one table.
+FOLD = 16
 
 
 def canonical(json: Column) -> Column:
@@ -31,17 +34,28 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
-def levels(calls: DataFrame, key: str = "call_id", after: str = "after", max_rounds: int = 10_000) -> DataFrame:
-    """``_call`` and ``level`` of every call that follows another, null level in and behind cycles."""
-    known = calls.where(F.col(key).isNotNull()).select(F.col(key).alias("_parent")).distinct()
-    edges = calls.where(F.col(key).isNotNull()).select(F.col(key).alias("_call"), F.explode(after).alias("_parent")).where("_call <> _parent").distinct()
+def identifier(conversation: Column, call: Column) -> Column:
+    """One text for a call's name inside its conversation; null for calls without a name."""
+    return F.when(call.isNotNull(), F.to_json(F.struct(conversation.alias("v"), call.alias("c"))))
+
+
+def levels(calls: DataFrame, key: str = "call_id", after: str = "after", conversation: str = "conv_id") -> DataFrame:
+    """``_call`` (``identifier``) and ``level`` of every call that follows another, null level in and behind cycles.
+
+    Identifiers count inside their conversation only.
+    """
+    of = F.col(conversation)
+    named = calls.where(F.col(key).isNotNull())
+    known = named.select(identifier(of, F.col(key)).alias("_parent")).distinct()
+    edges = named.select(of.alias("_v"), F.col(key).alias("_c"), F.explode(after).alias("_p")).where("_c <> _p")
+    edges = edges.select(identifier(F.col("_v"), F.col("_c")).alias("_call"), identifier(F.col("_v"), F.col("_p")).alias("_parent")).distinct()
     edges = written(edges.join(realigned(known, "_parent"), "_parent", "left_semi").select("_call", "_parent"), "call-order")
     total, children = edges.agg(F.count("*"), F.count_distinct("_call")).first()
     if not total:
         return edges.select("_call", F.lit(0).alias("level"))
     if total == children:
         return _levels_of_forest(edges, total)
-    return _levels_by_peeling(edges, max_rounds)
+    return _levels_by_peeling(edges)
 
 
 def _levels_of_forest(edges: DataFrame, total: int) -> DataFrame:
@@ -56,24 +70,27 @@ def _levels_of_forest(edges: DataFrame, total: int) -> DataFrame:
     return far.select("_call", F.when(~F.col("_moved"), F.col("level")).cast("int").alias("level"))
 
 
-def _levels_by_peeling(edges: DataFrame, max_rounds: int) -> DataFrame:
-    """In round r the calls left that follow another have level r at least."""
-    left, parts, size = edges, [], -1
-    for r in range(1, max_rounds):
-        now = left.count()
-        if not now:
-            break
-        if now == size:  # only circles and what waits for them are left
-            parts.append(left.select("_call", F.lit(None).cast("int").alias("level"), F.lit(True).alias("_stuck")))
+def _levels_by_peeling(edges: DataFrame) -> DataFrame:
+    """In round r the calls left that follow another have level r at least; as many rounds as the graph is deep."""
+
+    def highest(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.groupBy("_call").agg(F.max("level").alias("level"), F.max("_stuck").alias("_stuck"))
+
+    left, parts, size, r = edges, [], -1, 1
+    while now := left.count():
+        stuck = now == size  # only circles and what waits for them are left
+        parts.append(left.select("_call", F.lit(r).alias("level"), F.lit(stuck).alias("_stuck")))
+        if stuck:
             break
-        size = now
-        parts.append(left.select("_call", F.lit(r).alias("level"), F.lit(False).alias("_stuck")))
+        if len(parts) >= FOLD:
+            parts = [written(highest(parts), "call-levels")]
         waiting = left.select(F.col("_call").alias("_parent")).distinct()
         left = written(left.join(realigned(waiting, "_parent"), "_parent", "left_semi").select("_call", "_parent"), "call-order")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("_call").agg(F.max("level").alias("level"), F.max("_stuck").alias("_stuck")).select("_call", F.when(~F.col("_stuck"), F.col("level")).alias("level"))
+        size, r = now, r + 1
+    return highest(parts).select("_call", F.when(~F.col("_stuck"), F.col("level")).alias("level"))
 
 
 def type_fits(kind: Column, wanted: Column) -> Column:
@@ -115,15 +132,16 @@ def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFram
     ``valid``, ``errors`` (joined by "; "), ``message`` (canonical JSON). ``level``, then ``turn`` and
     ``call_id``, is an order in which every call comes after those it follows.
     """
-    calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after")
-    first = results.where("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "content", "conv_id")).alias("_r"))
-    ids = calls.where("call_id is not null").select("call_id").distinct()
+    of = identifier(F.col("conv_id"), F.col("call_id")).alias("_id")
+    calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after", of)
+    first = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("_r")).select(of, F.struct("conv_id", "call_id", "_r.turn", "_r.content").alias("_r"))
+    ids = calls.where("call_id is not null").select("_id").distinct()
     schemas = schemas.groupBy("name").agg(F.min("fields").alias("_fields"))
     if schemas.limit(BROADCAST_SCHEMAS + 1).count() <= BROADCAST_SCHEMAS:
         schemas = F.broadcast(schemas)
     order = levels(calls)
     parsed = F.try_parse_json("arguments")
-    rows = calls.join(realigned(first, "call_id").hint("shuffle_hash"), "call_id", "left").join(order, F.col("call_id") == F.col("_call"), "left").join(schemas, "name", "left")
+    rows = calls.join(realigned(first, "_id").hint("shuffle_hash"), "_id", "left").join(order, F.col("_id") == F.col("_call"), "left").join(schemas, "name", "left")
     rows = rows.withColumn("_kinds", F.transform_values(F.expr("try_cast(try_parse_json(arguments) as map<string, variant>)"), lambda k, v: F.schema_of_variant(v)))
     errors = (
         F.when(F.col("_kinds").isNull(), F.array(F.lit("arguments: no object")))
@@ -137,7 +155,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFram
     level = F.when(~in_circle, F.coalesce("level", F.lit(0)).cast("int"))
     text = F.array_join(errors, "; ")
     made = rows.select("conv_id", "call_id", "name", "turn", level.alias("level"), status.alias("status"), (F.size(errors) == 0).alias("valid"), text.alias("errors"), message.alias("message"))
-    lost = realigned(first, "call_id").join(realigned(ids, "call_id"), "call_id", "left_anti")
+    lost = realigned(first, "_id").join(realigned(ids, "_id"), "_id", "left_anti").select("_r", F.col("_r.call_id").alias("call_id"))
     nothing = F.lit(None).cast("string")
     message = F.to_json(F.struct(F.lit(None).cast("string").alias("arguments"), F.col("call_id"), nothing.alias("name"), F.col("_r.content").alias("result")), {"ignoreNullFields": "false"})
     orphans = lost.select(F.col("_r.conv_id").alias("conv_id"), "call_id", nothing.alias("name"), F.col("_r.turn").alias("turn"), F.lit(None).cast("int").alias("level"), F.lit("orphan").alias("status"), F.lit(False).alias("valid"), F.lit("call: missing").alias("errors"), message.alias("message"))
@@ -175,8 +193,8 @@ with calls as (
     text, case when turn >= 2 then concat_ws(':', conv_id, turn - 2) end as previous
   from conversations where role = 'user'),
 results as (
-  select concat_ws(':', conv_id, turn - 1) as call_id, min({'turn': turn, 'content': text, 'conv_id': conv_id}) as r
-  from conversations where role = 'assistant' group by 1),
+  select conv_id, concat_ws(':', conv_id, turn - 1) as call_id, min({'turn': turn, 'content': text}) as r
+  from conversations where role = 'assistant' group by 1, 2),
 ids as (select distinct call_id from calls),
 depth as (
   with recursive walk(call_id, level) as (
@@ -198,7 +216,7 @@ select conv_id, call_id, name, turn, cast(level as integer) as level, case when
   '{"arguments":' || arguments || ',"call_id":' || cast(to_json(call_id) as varchar) || ',"name":"' || name || '","result":' || coalesce(cast(to_json(r.content) as varchar), 'null') || '}' as message
 from checked
 union all
-select r.conv_id, r2.call_id, null, r.turn, null, 'orphan', false, 'call: missing',
+select r2.conv_id, r2.call_id, null, r.turn, null, 'orphan', false, 'call: missing',
   '{"arguments":null,"call_id":' || cast(to_json(r2.call_id) as varchar) || ',"name":null,"result":' || coalesce(cast(to_json(r.content) as varchar), 'null') || '}'
 from results r2 where r2.call_id not in (select call_id from ids)
 """
