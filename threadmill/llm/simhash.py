@@ -8,8 +8,8 @@ for r = 2), variants are brought together by value, and owners of one variant ar
 The shuffle is factored so that it carries 79 rows for a fingerprint instead of 2,081: variants
 travel by their 12 leading bits. A fingerprint is sent once to each bucket that some variant of
 it falls into, and the variants of that bucket are written out after the shuffle. Buckets with
-more fingerprints than ``SPLIT_ABOVE`` are dealt again by the next 12 bits; one variant has at most
-2,081 owners, since fingerprints are distinct here. Copies meet before (one row for each
+more fingerprints than ``SPLIT_ABOVE`` are dealt again by the next 12 bits, and so on to the last; one variant
+has at most 2,081 owners, since fingerprints are distinct here. Copies meet before (one row for each
 fingerprint), and a task that finds k owners of a variant writes k - 1 links, of which a
 spanning forest of its bundle of buckets is kept. Links are checked by counting differing bits.
 
@@ -24,6 +24,8 @@ the class of their group, and a class without any id has a null ``component_id``
 from __future__ import annotations
 
 import itertools
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,38 +33,53 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import realigned, written
+from .storage import discard, realigned, written
 
-#: Bits that deal variants out to buckets, on each of the two levels.
+#: Bits that deal variants out to buckets, on each level.
 BUCKET_BITS = 12
-#: Distinct fingerprints at home in a bucket beyond which the second level deals it again.
+#: Distinct fingerprints at home in a bucket beyond which the next level deals it again.
 SPLIT_ABOVE = 4_000
 #: Variants that a task writes out at a time; whole buckets, so one bucket may pass it.
 BUNDLE = 1_000_000
 #: Rows that a task gathers before it works on whole buckets of them.
 GATHER = 50_000
+#: Bytes of a text whose words are held at a time.
+PIECE = 65_536
 
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """Unsigned SimHash of a text's lower-cased (A-Z) word shingles."""
+def shingle_pieces(text: str | None, words: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """XXH64 values of a text's lower-cased (A-Z) word shingles, repeats included, for about ``PIECE`` bytes at a time."""
     from xxhash import xxh64_intdigest as digest
 
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not parts:
-        return 0
-    joined = b" ".join(parts)
-    n = len(parts)
-    if n <= words:
-        hashes = [digest(joined, seed)]
-    else:
-        ends = list(itertools.accumulate(map(len, parts), lambda a, b: a + b + 1))
-        starts = [0, *(e + 1 for e in ends[: n - words])]
-        hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :])]
-    bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    majority = bits.sum(axis=0, dtype=np.uint32) * 2 > len(hashes)
-    return int.from_bytes(np.packbits(majority).tobytes(), "big")
+    data = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+    held: list[bytes] = []
+    at, none = 0, True
+    while at < len(data):
+        end = len(data)
+        if end - at > PIECE and (gap := _SPACE.search(data, at + PIECE)):
+            end = gap.start()
+        held += data[at:end].split()
+        at, n = end, len(held)
+        if n >= words:
+            joined = b" ".join(held)
+            ends = list(itertools.accumulate(map(len, held), lambda a, b: a + b + 1))
+            starts = [0, *(e + 1 for e in ends[: n - words])]
+            yield np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :])], np.uint64)
+            held, none = held[n - words + 1 :], False
+    if held and none:
+        yield np.array([digest(b" ".join(held), seed)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """Unsigned SimHash of a text's lower-cased (A-Z) word shingles."""
+    counts, n = np.zeros(64, np.int64), 0
+    for h in shingle_pieces(text, words, seed):
+        counts += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(h)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
 def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 4, seed: int = 42) -> DataFrame:
@@ -143,43 +160,39 @@ def links(nodes: DataFrame, radius: int = 2, bits: int = BUCKET_BITS, split_abov
     ``nodes``: distinct ``fp`` with a ``node`` each. The links connect what all pairs would.
     """
     far = 2 * radius
-    top = 64 - bits
-    deal = [int(m) - (1 << 64) if m >= 1 << 63 else int(m) for m in masks(bits, radius, top).tolist()]
-    row = F.explode(F.array(*[F.lit(m) for m in deal]))
-    sent = nodes.select("fp", "node", row.alias("m")).select("fp", "node", F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("m")), top).alias("bucket"), F.bit_count("m").alias("spent"))
-    # The second level. The list has at most (fingerprints / split_above) buckets, and 2 ** bits.
-    hot = [r[0] for r in nodes.groupBy(F.shiftrightunsigned("fp", top).alias("h")).count().where(F.col("count") > split_above).select("h").collect()]
-    low = top - bits
-    if hot:
-        split = sent.where(F.col("bucket").isin(hot))
+    sent, parts, fixed = nodes.select("fp", "node", F.lit(0).cast("long").alias("m")), [], 0
+    while True:
+        fixed += bits
+        low = 64 - fixed
         more = []
-        for r in range(radius + 1):
-            again = F.explode(F.array(*[F.lit(int(m)) for m in masks(bits, radius - r, low).tolist()]))
-            more.append(split.where(F.col("spent") == r).select("fp", "node", "bucket", again.alias("m")))
-        deeper = more[0]
+        for r in range(radius + 1 if fixed > bits else 1):
+            deal = F.array(*[F.lit(int(np.uint64(m).view(np.int64))) for m in masks(bits, radius - r, low).tolist()])
+            more.append(sent.where(F.bit_count("m") == r).select("fp", "node", "m", F.explode(deal).alias("d")).select("fp", "node", F.col("m").bitwiseOR(F.col("d")).alias("m")))
+        sent = more[0]
         for x in more[1:]:
-            deeper = deeper.unionByName(x)
-        second = F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("m")), low).bitwiseAND(F.lit((1 << bits) - 1))
-        deeper = deeper.select("fp", "node", "bucket", second.alias("second"))
-        sent = sent.where(~F.col("bucket").isin(hot)).select("fp", "node", "bucket", F.lit(-1).cast("long").alias("second")).unionByName(deeper)
-    else:
-        sent = sent.select("fp", "node", "bucket", F.lit(-1).cast("long").alias("second"))
+            sent = sent.unionByName(x)
+        sent = sent.withColumn("bucket", F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("m")), low))
+        if low < bits:
+            break
+        # At most one row for every ``split_above`` fingerprints.
+        hot = written(nodes.groupBy(F.shiftrightunsigned("fp", low).alias("bucket")).count().where(F.col("count") > split_above).select("bucket"), "hot-buckets")
+        if not hot.head(1):
+            break
+        parts.append(sent.join(hot, "bucket", "left_anti").select("fp", "node", F.lit(fixed).alias("fixed"), "bucket"))
+        sent = sent.join(hot, "bucket", "left_semi").select("fp", "node", "m")
+    sent = sent.select("fp", "node", F.lit(fixed).alias("fixed"), "bucket")
+    for x in parts:
+        sent = sent.unionByName(x)
 
     def bundle(parts):
-        fp, node, bucket, second = (np.concatenate(x) for x in zip(*parts))
+        fp, node, level, bucket = (np.concatenate(x) for x in zip(*parts))
         fp = fp.view(np.uint64)
-        keep = np.uint64((1 << top) - 1)
         out = [(node[:0], node[:0])]
-        for deep in (False, True):
-            at = np.flatnonzero((second >= 0) == deep)
-            if not len(at):
-                continue
-            home = (fp[at] & keep) | (bucket[at].astype(np.uint64) << np.uint64(top))
-            if deep:
-                home = (home & ~np.uint64(((1 << bits) - 1) << low)) | (second[at].astype(np.uint64) << np.uint64(low))
-            fixed = 2 * bits if deep else bits
-            weight = np.array([len(masks(64 - fixed, radius - r)) for r in range(radius + 1)])[_popcount(fp[at] ^ home)]
-            for part in _bundles(home >> np.uint64(64 - fixed), weight):
+        for fixed in np.unique(level).tolist():
+            at, low = np.flatnonzero(level == fixed), 64 - fixed
+            home = (fp[at] & np.uint64((1 << low) - 1)) | (bucket[at].astype(np.uint64) << np.uint64(low))
+            weight = np.array([len(masks(low, radius - r)) for r in range(radius + 1)])[_popcount(fp[at] ^ home)]
+            for part in _bundles(bucket[at], weight):
                 f, v = fp[at[part]], node[at[part]]
                 i, j = _links_of(f, home[part], fixed, radius)
                 near = _popcount(f[i] ^ f[j]) <= far
@@ -206,7 +219,7 @@ def links(nodes: DataFrame, radius: int = 2, bits: int = BUCKET_BITS, split_abov
         if held:
             yield bundle(held)
 
-    dealt = sent.repartition("bucket", "second").sortWithinPartitions("bucket", "second")
+    dealt = sent.repartition("fixed", "bucket").sortWithinPartitions("fixed", "bucket")
     found = dealt.mapInArrow(run, "a long, b long")
     return found.distinct()
 
@@ -243,7 +256,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         n, children = e.agg(F.count("*"), F.count_distinct("a")).first()
         if n == children and not _chained(e):
             break
-        e = written(star(star(e, True), False), "links")
+        before, e = e, written(star(star(e, True), False), "links")
+        discard(before)
     else:
         raise RuntimeError(f"components not found in {rounds} rounds")
     tops = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
@@ -265,5 +279,5 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     known = nodes.where("node is not null")
     classes = components(links(known, radius))
     of_print = nodes.join(classes, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    out = prints.join(of_print, "fp", "left")
+    out = prints.join(realigned(of_print, "fp"), "fp", "left")
     return out.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

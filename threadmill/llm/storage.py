@@ -1,7 +1,8 @@
 """Durable intermediate tables and archive folders, shared by all executors.
 
-Everything goes below the folder named by ``spark.checkpoint.dir``. Only where a session
-names none (tests, a notebook) a folder beside the local temp files is used instead.
+Everything goes below the folder named by ``spark.checkpoint.dir``. Only where a session with a local
+master names none (tests, a notebook) a folder beside the local temp files is used instead; on a cluster that
+is an error, since executors would not see one another's files.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ def shared_root(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "threadmill-shared")
     return root.rstrip("/")
 
@@ -35,7 +38,16 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, kind)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned, once nothing that reads them is left to compute."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._written_to)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def realigned(df: DataFrame, *keys: str) -> DataFrame:
@@ -45,7 +57,8 @@ def realigned(df: DataFrame, *keys: str) -> DataFrame:
     execution splits a hot key's rows only between two plain exchanges.
     """
     kinds = dict(df.dtypes)
-    return df.withColumns({k: F.concat(k, F.lit("")) if kinds[k] == "string" else F.col(k).bitwiseXOR(F.lit(0)) for k in keys})
+    empty = {"string": "", "binary": bytearray()}
+    return df.withColumns({k: F.concat(k, F.lit(empty[kinds[k]])) if kinds[k] in empty else F.col(k).bitwiseXOR(F.lit(0)) for k in keys})
 
 
 def file_system(uri: str):
