@@ -16,9 +16,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def session(master: str | None = None, **settings: str) -> SparkSession:
     """A session with this engine's settings; ``settings`` use ``__`` for dots."""
@@ -27,7 +30,13 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once for each session's context."""
+    """Send the package to the executors, once for each session's context.
+
+    A session that left the size of Arrow batches at its default gets that of ``SETTINGS``: batches of 10,000
+    long texts take much memory in each worker.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, SETTINGS[BATCH])
     context = spark.sparkContext
     if getattr(context, "_threadmill_shipped", False):
         return
@@ -42,7 +51,11 @@ def ship(spark: SparkSession) -> None:
 
 def scratch(spark: SparkSession, kind: str) -> str:
     """A fresh folder below the folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "threadmill-shared")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = "file://" + os.path.join(tempfile.gettempdir(), "threadmill-shared")
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
