@@ -10,12 +10,16 @@ array of a large corpus fits no machine, so suffixes that can match are brought
 2. Anchors that occur once are dropped (counts with partial sums). A segment that occurs twice
    as a whole is covered as a whole. Where one anchor has several different segments, one copy
    of each goes to a suffix array.
-3. Segments are packed into arrays by anchor. Two-stage sorting: suffixes smaller than their
+3. An anchor with more than ``MANY`` different segments (a passage that a third of all texts quote)
+   would make one array too large. It is made longer: of its windows, those that reach far to the left
+   meet under the anchor with more bytes before it, the others under that with more bytes after it. Both
+   halves are split again until no anchor has so many; at last an anchor is a whole window.
+4. Segments are packed into arrays by anchor. Two-stage sorting: suffixes smaller than their
    successor are sorted directly, the others are induced by scanning buckets of first bytes
    from the left. Neighbours in the array with a common prefix of ``length`` bytes match.
-4. An anchor with more than ``MANY`` different segments (a passage that a third of all texts quote)
-   would make one array too large. Its suffixes are grouped by a 128-bit digest of their first
-   ``length`` bytes instead, which spreads them over all tasks and loses nothing.
+
+Full rows are sent only for anchors whose bit is set in a bit map of the anchors that repeat, and texts only if
+some segment of them is asked for; both filters have a fixed size and let through too much at worst.
 
 Runs are joined for each text, and texts are cut. Segments are told apart by two 64-bit hashes and
 their lengths; everything else compares bytes.
@@ -32,15 +36,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import realigned, written
+from .storage import discard, realigned, written
 
 #: Bytes of an anchor.
 ANCHOR = 64
 #: Different segments of one anchor in a suffix array, at most.
-MANY = 2_000
+MANY = 500
+#: Words of 64 bits of the map of repeated anchors, and hash values by which texts are asked for.
+MAP_WORDS = 1 << 20
+SPOTS = 1 << 20
 #: Bytes of text hashed at a time (what stays in cache), and bytes in one suffix array, about.
 CHUNK = 32_000
 ARRAY = 400_000
@@ -186,11 +193,11 @@ def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(lcp, most)
 
 
-def repeats(segments: list[bytes], length: int, first: np.ndarray | None = None, last: np.ndarray | None = None) -> list[np.ndarray]:
+def repeats(segments: list[bytes], length: int, anchor: np.ndarray | None = None, first: np.ndarray | None = None, last: np.ndarray | None = None) -> list[np.ndarray]:
     """Starts of ``length``-byte strings of each segment that also start elsewhere in the list.
 
-    With ``first`` and ``last`` (least and greatest text of each segment's copies), only strings
-    of two different texts count.
+    ``anchor``: only segments of one number count together. With ``first`` and ``last`` (least and greatest
+    text of each segment's copies), only strings of two different texts count.
     """
     data = b"".join(segments)
     sizes = np.array([len(s) for s in segments], np.int64)
@@ -202,13 +209,18 @@ def repeats(segments: list[bytes], length: int, first: np.ndarray | None = None,
     if len(order) < 2:
         return out
     equal = common_prefixes(data, order, length) >= length
-    run = np.cumsum(~equal) - 1
     owner = np.searchsorted(ends, order, "right")
+    run = np.cumsum(~equal) - 1
+    if anchor is not None:
+        _, run = np.unique(np.stack([run, anchor[owner]], 1), axis=0, return_inverse=True)
+        run = run.ravel()
     if first is None:
         hit = np.bincount(run)[run] > 1
     else:
-        edge = np.flatnonzero(~equal)
-        hit = (np.minimum.reduceat(first[owner], edge) != np.maximum.reduceat(last[owner], edge))[run]
+        lo, hi = np.full(len(order), np.iinfo(np.int64).max), np.full(len(order), np.iinfo(np.int64).min)
+        np.minimum.at(lo, run, first[owner])
+        np.maximum.at(hi, run, last[owner])
+        hit = (lo != hi)[run]
     order, owner = order[hit], owner[hit]
     by = np.argsort(order)
     order, owner = order[by], owner[by]
@@ -256,8 +268,24 @@ def _key_columns(df: DataFrame, text: str, key: str):
     return k.alias("_k"), F.xxhash64(F.col(key).isNull(), F.col(text)).alias("_h")
 
 
-def _anchor_rows(texts: DataFrame, length: int, only_hash: bool) -> DataFrame:
-    """A row for each anchor: ``h``, and unless ``only_hash``: ``seg``, ``_k``, ``_h``, ``at`` (packed)."""
+def _bit_map(hashes: DataFrame):
+    """A broadcast map of ``64 * MAP_WORDS`` bits in which those of the hashes ``h`` are set."""
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(MAP_WORDS - 1))
+    words = hashes.groupBy(word.alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b"))
+    bits = np.zeros(MAP_WORDS, np.uint64)
+    for r in words.toArrow().to_batches():
+        bits[r.column(0).to_numpy()] = r.column(1).to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def _in_map(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    h = h.view(np.uint64)
+    return (bits[((h >> np.uint64(6)) & np.uint64(MAP_WORDS - 1)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _anchor_rows(texts: DataFrame, length: int, known=None) -> DataFrame:
+    """A row for each anchor: ``h``, and if ``known`` (a bit map) has it: ``seg``, ``_k``, ``_h``, ``at`` (packed)."""
+    only_hash = known is None
     names = ["h"] if only_hash else ["h", "seg", "_k", "_h", "at"]
 
     def work(rows):
@@ -271,6 +299,9 @@ def _anchor_rows(texts: DataFrame, length: int, only_hash: bool) -> DataFrame:
             # Counts of a chunk's own copies are made here already.
             return pa.RecordBatch.from_arrays([pa.array(h)], names)
         k, hh = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        if len(h):
+            keep = _in_map(known.value, h)
+            text, h, seg, place, left, right = (x[keep] for x in (text, h, seg, place, left, right))
         at = (place << 24) | (left << 12) | right
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, seg, k[text], hh[text], at)] if len(h) else [pa.array([], pa.int64())] * 5, names)
 
@@ -295,15 +326,14 @@ def _left(c="at"):
     return F.shiftright(c, 12).bitwiseAND(F.lit(4095))
 
 
-def _right(c="at"):
-    return F.col(c).bitwiseAND(F.lit(4095))
-
-
-def _segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of one copy of each wanted segment: ``h``, ``seg``, ``m``, ``_k0``, ``_k1``, ``data``."""
-    lists = wanted.groupBy("_k", "_h").agg(F.collect_list(F.struct("at", "h", "seg", "m", "lo", "hi")).alias("_want"))
-    both = texts.join(lists, ["_k", "_h"]).select("_text", "_want")
-    names = ["h", "seg", "m", "lo", "hi", "data"]
+def _segments(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Bytes of one copy of each wanted segment: ``h``, ``seg``, ``lo``, ``hi``, ``n``, ``data``, ``left`` (of the anchor)."""
+    spot = F.pmod(F.xxhash64("_k", "_h"), F.lit(SPOTS)).alias("_spot")
+    asked = wanted.select(spot).distinct()
+    some = texts.select("*", spot).join(F.broadcast(asked), "_spot", "left_semi").drop("_spot")
+    lists = wanted.groupBy("_k", "_h").agg(F.collect_list(F.struct("at", "h", "seg", "n", "lo", "hi")).alias("_want"))
+    both = some.join(realigned(lists, "_k", "_h"), ["_k", "_h"]).select("_text", "_want")
+    names = ["h", "seg", "n", "lo", "hi", "left", "data"]
 
     def run(batches):
         for b in batches:
@@ -312,12 +342,12 @@ def _segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 t = t.encode("utf-8", "surrogatepass")
                 for w in want:
                     place, left, right = w["at"] >> 24, w["at"] >> 12 & 4095, w["at"] & 4095
-                    out.append((w["h"], w["seg"], w["m"], w["lo"], w["hi"], t[place - left : place + right]))
+                    out.append((w["h"], w["seg"], w["n"], w["lo"], w["hi"], left, t[place - left : place + right]))
             for i in range(0, len(out), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 20_000]), [pa.int64()] * 5 + [pa.binary()])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 20_000]), [pa.int64()] * 6 + [pa.binary()])], names)
 
     # Repeated rows give their segments twice; the readers drop one.
-    return both.mapInArrow(run, "h long, seg long, m long, lo long, hi long, data binary")
+    return both.mapInArrow(run, "h long, seg long, n long, lo long, hi long, left long, data binary")
 
 
 def _sorted_runs(segments: DataFrame, length: int, across: bool) -> DataFrame:
@@ -327,7 +357,8 @@ def _sorted_runs(segments: DataFrame, length: int, across: bool) -> DataFrame:
 
     def work(rows):
         lo, hi = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
-        found = repeats([r[4] for r in rows], length, *((lo, hi) if across else ()))
+        anchor = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
+        found = repeats([r[4] for r in rows], length, anchor, *((lo, hi) if across else ()))
         out = [(r[0], r[1], [{"a": a, "b": b} for a, b in runs_of(s, length)]) for r, s in zip(rows, found) if len(s)]
         cols = list(zip(*out)) or [()] * 3
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], of)], names)
@@ -351,33 +382,70 @@ def _sorted_runs(segments: DataFrame, length: int, across: bool) -> DataFrame:
     return dealt.mapInArrow(run, f"h long, seg long, runs {_RUN}")
 
 
-def _digested_runs(segments: DataFrame, length: int, across: bool) -> DataFrame:
-    """As ``_sorted_runs``, for anchors with many segments: suffixes meet by digest."""
-    names = ["w0", "w1", "h", "seg", "lo", "hi", "start"]
+def _whole(kinds: DataFrame, size: Column, length: int, across: bool) -> DataFrame:
+    """``h``, ``seg`` and ``runs`` of segments that occur more than once as a whole."""
+    again = F.col("lo") != F.col("hi") if across else F.col("n") > 1
+    run = F.struct(F.lit(0).cast("int").alias("a"), size.cast("int").alias("b"))
+    return kinds.where(again & (size >= length)).select("h", "seg", F.array(run).alias("runs"))
+
+
+def _halves(segments: DataFrame, length: int) -> DataFrame:
+    """The windows of each segment under two longer anchors, with the bytes that they cover.
+
+    ``segments``: ``h``, ``data``, ``left`` and ``wide`` (place and bytes of the anchor in ``data``), and the columns of the
+    segment that they are part of (``of_h``, ``of_seg``, ``base``), ``n``, ``lo``, ``hi``.
+    """
+    names = ["h", "seg", "n", "lo", "hi", "left", "wide", "of_h", "of_seg", "base", "data"]
 
     def run(batches):
-        from xxhash import xxh3_128_intdigest
+        from xxhash import xxh3_64_intdigest
 
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
         for b in batches:
             out = []
-            for h, seg, lo, hi, data in zip(*(b.column(i).to_pylist() for i in range(5))):
-                for at in range(len(data) - length + 1):
-                    d = xxh3_128_intdigest(data[at : at + length])
-                    out.append(((d >> 65), d & (1 << 63) - 1, h, seg, lo, hi, at))
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
-
-    suffixes = segments.select("h", "seg", "lo", "hi", "data").mapInArrow(run, ", ".join(f"{c} long" for c in names))
-    twice = (F.min("lo") != F.max("hi")) if across else (F.count("*") > 1)
-    shared = suffixes.groupBy("w0", "w1").agg(twice.alias("twice")).where("twice").drop("twice")
-    hits = suffixes.join(realigned(shared, "w0"), ["w0", "w1"], "left_semi")
-    # At most 2 * length - ANCHOR starts in a segment.
-    starts = hits.groupBy("h", "seg").agg(F.collect_list("start").alias("s"))
-    n = F.lit(length).cast("int")
-    return starts.select("h", "seg", F.transform("s", lambda x: F.struct(x.cast("int").alias("a"), (x.cast("int") + n).alias("b"))).alias("runs"))
+            for h, n, lo, hi, left, wide, of_h, of_seg, base, data in zip(*(b.column(i).to_pylist() for i in range(10))):
+                free = length - wide  # bytes of a window outside the anchor
+                more = free - free // 2
+                # Windows that start ``more`` bytes or further before the anchor hold these bytes, the others free // 2 + 1 after it or further.
+                for side, begin, end, cut in ((0, 0, min(len(data), left + wide + free - more), left - more), (1, max(0, left - more + 1), len(data), 0)):
+                    grown = (cut, wide + more) if side == 0 else (left, wide + free - more + 1)
+                    if end - begin < length or grown[0] < begin or grown[0] + grown[1] > end:
+                        continue
+                    key = data[grown[0] : grown[0] + grown[1]]
+                    part = data[begin:end]
+                    name = xxh3_64_intdigest(key, (h ^ side) & (1 << 64) - 1)
+                    out.append((signed(name), signed(xxh3_64_intdigest(part, name)), n, lo, hi, grown[0] - begin, grown[1], of_h, of_seg, base + begin, part))
+            for i in range(0, len(out), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 10_000]), [pa.int64()] * 10 + [pa.binary()])], names)
+
+    cols = ["h", "n", "lo", "hi", "left", "wide", "of_h", "of_seg", "base", "data"]
+    return segments.select(*cols).mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", data binary")
+
+
+def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int) -> DataFrame:
+    """As ``_sorted_runs``, for anchors with more than ``many`` segments: their anchors grow until none has so many."""
+    parts, left = [], segments.select("*", F.lit(ANCHOR).cast("long").alias("wide"), F.col("h").alias("of_h"), F.col("seg").alias("of_seg"), F.lit(0).cast("long").alias("base"))
+    while True:
+        left = written(_halves(left, length), "longer-anchors")
+        m = left.groupBy("h").agg(F.count_distinct("seg").alias("m"), F.max("wide").alias("w"))
+        # An anchor that is a window has one segment.
+        crowded = written(m.where((F.col("m") > many) & (F.col("w") < length)).select("h"), "crowded-anchors")
+        parts.append(left.join(crowded, "h", "left_anti"))
+        if not crowded.head(1):
+            break
+        left = left.join(crowded, "h")
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    kinds = whole.groupBy("h", "seg").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("data").alias("data"))
+    kinds = written(kinds, "longer-segments")
+    found = _sorted_runs(kinds, length, across)
+    full = _whole(kinds, F.octet_length("data"), length, across)
+    runs = written(found.join(full.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(full), "longer-covered")
+    moved = whole.select("h", "seg", "of_h", "of_seg", F.col("base").cast("int").alias("base")).join(realigned(runs, "h", "seg"), ["h", "seg"])
+    shifted = F.transform("runs", lambda r: F.struct((r["a"] + F.col("base")).alias("a"), (r["b"] + F.col("base")).alias("b")))
+    # At most as many runs as a segment has windows.
+    return moved.groupBy(F.col("of_h").alias("h"), F.col("of_seg").alias("seg")).agg(F.flatten(F.collect_list(shifted)).alias("runs"))
 
 
 def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id", group: str | None = None, across: bool = False, many: int = MANY) -> tuple[DataFrame, DataFrame]:
@@ -389,28 +457,28 @@ def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str
     if not ANCHOR < length <= 2_000 or length - ANCHOR + 1 > 511:
         raise ValueError(f"length must lie between {ANCHOR + 1} and {ANCHOR + 510}")
     texts = _identified(df, text, key, group)
-    hashes = _anchor_rows(texts, length, True)
-    twice = hashes.groupBy("h").count().where("count > 1").select("h")
-    rows = written(_anchor_rows(texts, length, False).join(realigned(twice, "h"), "h"), "anchors")
+    twice = written(_anchor_rows(texts, length).groupBy("h").count().where("count > 1").select("h"), "repeated-anchors")
+    rows = written(_anchor_rows(texts, length, _bit_map(twice)).join(twice, "h"), "anchors")
     # One row for each different segment, with one of its copies.
     kinds = written(rows.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"), F.min(F.struct("_k", "_h", "at")).alias("one")), "segments")
-    several = kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    wanted = kinds.join(realigned(several, "h"), "h").select("h", "seg", "m", "lo", "hi", "one._k", "one._h", "one.at")
-    data = written(_segments(texts, wanted, length), "segment-bytes")
-    found = _sorted_runs(data.where(F.col("m") <= many), length, across)
-    if data.where(F.col("m") > many).head(1):
-        found = found.unionByName(_digested_runs(data.where(F.col("m") > many).dropDuplicates(["h", "seg"]), length, across))
-    again = F.col("lo") != F.col("hi") if across else F.col("n") > 1
-    whole = kinds.where(again & (_left("one.at") + F.col("one.at").bitwiseAND(F.lit(4095)) >= length))
-    zero = F.lit(0).cast("int")
-    size = (_left("one.at") + F.col("one.at").bitwiseAND(F.lit(4095))).cast("int")
-    whole = whole.select("h", "seg", F.array(F.struct(zero.alias("a"), size.alias("b"))).alias("runs"))
+    several = written(kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "several")
+    wanted = kinds.join(realigned(several, "h"), "h").select("h", "seg", "n", "lo", "hi", "one._k", "one._h", "one.at")
+    data = written(_segments(texts, wanted), "segment-bytes")
+    crowded = written(several.where(F.col("m") > many).select("h"), "crowded")
+    if crowded.head(1):
+        found = _sorted_runs(data.join(crowded, "h", "left_anti"), length, across)
+        found = found.unionByName(_crowded_runs(data.join(crowded, "h").dropDuplicates(["h", "seg"]), length, across, many))
+    else:
+        found = _sorted_runs(data, length, across)
+    whole = _whole(kinds, _left("one.at") + F.col("one.at").bitwiseAND(F.lit(4095)), length, across)
     covered = written(found.join(whole.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(whole), "covered")
-    hits = rows.join(covered, ["h", "seg"])
+    hits = rows.join(realigned(covered, "h", "seg"), ["h", "seg"])
     base = (F.shiftright("at", 24) - _left()).cast("int")
     moved = hits.select("_k", "_h", F.transform("runs", lambda r: F.struct((r["a"] + base).alias("a"), (r["b"] + base).alias("b"))).alias("runs"))
     # Anchors of one text: as many as its length allows.
-    return texts, moved.groupBy("_k", "_h").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    runs = written(moved.groupBy("_k", "_h").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    discard(twice, rows, kinds, several, data, crowded, covered)
+    return texts, runs
 
 
 def _cut(data: bytes, runs) -> tuple[bytes, list[tuple[int, int]]]:
@@ -428,7 +496,7 @@ def deduplicate(df: DataFrame, length: int = 200, text: str = "text", key: str =
     _, runs = repeated_runs(df, length, text, key)
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_id"), *_key_columns(df, text, key), F.col(text).alias("_text"))
-    joined = rows.join(runs, ["_k", "_h"], "left").select("_id", "_text", "runs")
+    joined = rows.join(realigned(runs, "_k", "_h"), ["_k", "_h"], "left").select("_id", "_text", "runs")
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches):
@@ -453,7 +521,7 @@ def keep_unique(df: DataFrame, length: int = 200, text: str = "text", key: str =
     _, runs = repeated_runs(df, length, text, key)
     names, at = df.columns, df.columns.index(text)
     held = df.select(*_key_columns(df, text, key), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    joined = held.join(runs, ["_k", "_h"], "left").select("_row.*", F.col("runs").alias("_runs_of_text"))
+    joined = held.join(realigned(runs, "_k", "_h"), ["_k", "_h"], "left").select("_row.*", F.col("runs").alias("_runs_of_text"))
 
     def run(batches):
         for b in batches:
