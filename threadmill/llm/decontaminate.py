@@ -6,10 +6,10 @@ windows, each with a space before and after every word, make one automaton; a te
 joined the same way, are scanned once, and hits are mapped back to words and to the characters
 of the original text.
 
-The automaton is built from the benchmark's texts, which are read to the driver only after their
-size was measured: up to ``BLOCK_BYTES`` they form one block. A larger benchmark is dealt into
-blocks by item, each scanned against all texts in its own pass, and the passes' hits are merged
-for each row; nothing is dropped in either case.
+Windows are cut from the benchmark by tasks and written as a table in the shared folder; each worker reads it and
+builds the automaton, nothing passes the driver. A worker holds ``BLOCK_BYTES`` of windows at most: of a benchmark
+beyond, windows are dealt into blocks by hash, and texts pass one block's automaton after another, each pass adding
+its hits to the row; nothing is dropped in either case.
 
 Defined results: null texts have no words and no hits; null items and items without words have no
 windows; equal items all count; repeated rows are scanned each; empty tables give no hits.
@@ -18,14 +18,17 @@ windows; equal items all count; repeated rows are scanned each; empty tables giv
 from __future__ import annotations
 
 import hashlib
-import uuid
+import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Benchmark text in one automaton, at most (an automaton takes some 60 bytes for each byte).
-BLOCK_BYTES = 2_000_000
+from .storage import file_system, written
+
+#: Bytes of distinct windows in one automaton, about (each text byte is in ten windows).
+BLOCK_BYTES = 16_000_000
 
 _WORD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -37,29 +40,34 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD).split()
 
 
+_SPAN = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
 def word_spans(text: str | None) -> list[tuple[int, int]]:
     """Characters [start, end) of each word in the original text."""
-    import re
+    return [m.span() for m in _SPAN.finditer(text or "")]
 
-    return [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text or "")]
+
+def windows_of(text: str | None, size: int) -> list[tuple[bytes, int]]:
+    """Distinct windows of an item, each word between spaces, and their numbers of words."""
+    words = words_of(text)
+    cut = (words[at : at + size] for at in range(max(1, len(words) - size + 1) if words else 0))
+    return list({b" " + b" ".join(w) + b" ": len(w) for w in cut}.items())
 
 
 class Windows:
-    """The automaton of some items' windows."""
+    """The automaton of windows: rows of window, number of words, item."""
 
-    def __init__(self, items: list[tuple[str, str | None]], size: int):
+    def __init__(self, rows):
         import ahocorasick
 
         found: dict[bytes, tuple[int, set]] = {}
-        for item, text in items:
-            words = words_of(text)
-            for at in range(max(1, len(words) - size + 1) if words else 0):
-                part = words[at : at + size]
-                found.setdefault(b" " + b" ".join(part) + b" ", (len(part), set()))[1].add(item)
+        for window, n, item in rows:
+            found.setdefault(window, (n, set()))[1].add(item)
         self.automaton = ahocorasick.Automaton()
         for key, (n, of) in found.items():
             text = key.decode("latin-1")
-            self.automaton.add_word(text, (len(text), n, tuple(of)))
+            self.automaton.add_word(text, (n, tuple(of)))
         self.any = bool(found)
         if self.any:
             self.automaton.make_automaton()
@@ -72,83 +80,96 @@ class Windows:
         if self.any and words:
             joined = b" " + b" ".join(words) + b" "
             done_at, done = 0, 0
-            for end, (length, n, of) in self.automaton.iter(joined.decode("latin-1")):
+            for end, (n, of) in self.automaton.iter(joined.decode("latin-1")):
                 done += joined.count(b" ", done_at, end)
                 done_at = end
-                last = done  # spaces before the closing one: words ended
                 items.update(of)
-                first = last - n
-                while runs and first <= runs[-1][0]:
-                    last = max(last, runs.pop()[1])
-                if runs and first <= runs[-1][1]:
-                    runs[-1][1] = max(last, runs[-1][1])
-                else:
-                    runs.append([first, last])
+                add_run(runs, done - n, done)  # spaces before the closing one: words ended
         return len(words), runs, items
 
 
+def add_run(runs: list[list[int]], first: int, last: int) -> None:
+    """Join [first, last) to the runs so far; ends come in order."""
+    while runs and first <= runs[-1][0]:
+        last = max(last, runs.pop()[1])
+    if runs and first <= runs[-1][1]:
+        runs[-1][1] = max(last, runs[-1][1])
+    else:
+        runs.append([first, last])
+
+
 _built: dict = {}
 
 
-def _windows(items, tag: str, size: int) -> Windows:
-    """The automaton of a broadcast block, built once in a worker."""
-    if (tag, size) not in _built:
+def _windows(uri: str, block: int, blocks: int) -> Windows:
+    """The automaton of one block of a written table of windows, built once in a worker."""
+    if (uri, block) not in _built:
+        from pyarrow import dataset
+
+        fs, path = file_system(uri)
+        rows = dataset.dataset(path, filesystem=fs, format="parquet").to_batches()
+        mine = (r for b in rows for r in zip(*(b.column(c).to_pylist() for c in ("window", "n", "item"))) if zlib.crc32(r[0]) % blocks == block)
         _built.clear()
-        _built[tag, size] = Windows(items.value, size)
-    return _built[tag, size]
+        _built[uri, block] = Windows(mine)
+    return _built[uri, block]
+
+
+def window_table(benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = 10) -> tuple[str, int]:
+    """Folder of the table of distinct windows of all items, and the number of blocks they are dealt into."""
 
+    def cut(batches):
+        for b in batches:
+            rows = [(w, n, i) for i, t in zip(*(b.column(k).to_pylist() for k in (0, 1))) for w, n in windows_of(t, size)]
+            for at in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 10_000]), (pa.binary(), pa.int64(), pa.string()))], ["window", "n", "item"])
 
-def item_blocks(benchmark: DataFrame, text: str = "text", item: str = "item_id") -> list[list[tuple[str, str | None]]]:
-    """The benchmark's distinct items in blocks of about ``BLOCK_BYTES``, after measuring its size."""
-    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES) or 1
-    if n == 1:
-        return [[(r.i, r.t) for r in rows.collect()]]
-    block = F.pmod(F.xxhash64("i"), F.lit(n))
-    return [[(r.i, r.t) for r in rows.where(block == k).collect()] for k in range(n)]
+    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    table = written(items.mapInArrow(cut, "window binary, n long, item string").distinct(), "benchmark-windows")
+    total = table.select("window").distinct().agg(F.sum(F.octet_length("window"))).first()[0] or 0
+    return table._written_to, -(-total // BLOCK_BYTES) or 1
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item: str = "item_id", size: int = 10) -> DataFrame:
     """One row per row of ``df``: ``key``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``,
-    ``contaminated``, ``items`` (sorted) and ``runs`` (covered words [start, end))."""
-    spark = df.sparkSession
-    blocks = item_blocks(benchmark, item_text, item)
+    ``contaminated``, ``items`` (sorted), ``runs`` (covered words [first, last)) and ``spans`` (the
+    characters [first, last) of the original text that each run covers)."""
+    uri, blocks = window_table(benchmark, item_text, item, size)
     kind = df.schema[key].dataType.simpleString()
+    ranges, names = "array<struct<first: long, last: long>>", ["_key", "_text", "n_words", "runs", "spans", "items"]
+    of = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    listed = lambda x: [{"first": a, "last": b} for a, b in x]
 
-    def scanned(source: DataFrame, lead: int, names: list[str], kinds: str, block: list) -> DataFrame:
-        held, tag = spark.sparkContext.broadcast(block), uuid.uuid4().hex
-
+    def scanned(source: DataFrame, block: int) -> DataFrame:
         def run(batches):
-            windows = _windows(held, tag, size)
+            windows = _windows(uri, block, blocks)
             for b in batches:
-                n, runs, items = [], [], []
-                for t in b.column(lead).to_pylist():
-                    x = windows.scan(t)
-                    n.append(x[0])
-                    runs.append([{"first": r[0], "last": r[1]} for r in x[1]])
-                    items.append(sorted(x[2]))
-                of = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(lead)), pa.array(n, pa.int64()), pa.array(runs, of), pa.array(items, pa.list_(pa.string()))], names)
-
-        return source.mapInArrow(run, f"{kinds}, n_words long, runs array<struct<first: long, last: long>>, items array<string>")
-
-    if len(blocks) == 1:
-        source = df.select(key, F.col(text).alias("_text"))
-        found = scanned(source, 1, [key, "n_words", "runs", "items"], f"`{key}` {kind}", blocks[0])
-    else:
-        from .storage import written
-
-        source = written(df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text")), "texts")
-        parts = [scanned(source, 2, ["_row", "_key", "n_words", "runs", "items"], f"_row long, _key {kind}", x) for x in blocks]
-        both = parts[0]
-        for p in parts[1:]:
-            both = both.unionByName(p)
-        merged = both.groupBy("_row").agg(F.first("_key").alias(key), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        found = merged.select(key, "n_words", merge_runs(F.col("runs")).alias("runs"), "items")
+                n, runs, spans, items = [], [], [], []
+                before = zip(b.column(3).to_pylist(), b.column(5).to_pylist()) if block else iter(lambda: (None, None), 0)
+                for t, (old, had) in zip(b.column(1).to_pylist(), before):
+                    k, hit, found = windows.scan(t)
+                    if old:
+                        both, hit = sorted([*hit, *([r["first"], r["last"]] for r in old)], key=lambda r: r[1]), []
+                        for first, last in both:
+                            add_run(hit, first, last)
+                        found |= set(had)
+                    at = word_spans(t) if hit else []
+                    n.append(k)
+                    runs.append(listed(hit))
+                    spans.append(listed((at[x][0], at[y - 1][1]) for x, y in hit))
+                    items.append(sorted(found))
+                whole = b.column(1) if block + 1 < blocks else pa.nulls(b.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([b.column(0), whole, pa.array(n, pa.int64()), pa.array(runs, of), pa.array(spans, of), pa.array(items, pa.list_(pa.string()))], names)
+
+        return source.mapInArrow(run, f"_key {kind}, _text string, n_words long, runs {ranges}, spans {ranges}, items array<string>")
+
+    found = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    for block in range(blocks):
+        found = scanned(found, block)
+        if block + 1 < blocks:
+            found = written(found, "scanned-texts")
     hit = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"])
     return found.select(
-        key,
+        F.col("_key").alias(key),
         "n_words",
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
@@ -156,22 +177,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", key: s
         (hit > 0).alias("contaminated"),
         "items",
         "runs",
+        "spans",
     )
 
 
-def merge_runs(runs):
-    """Column expression: [first, last) ranges joined where they overlap or touch, in order."""
-    empty = F.array().cast("array<struct<first: bigint, last: bigint>>")
-
-    def add(done, r):
-        end = F.element_at(done, -1)
-        joined = F.struct(end["first"].alias("first"), F.greatest(end["last"], r["last"]).alias("last"))
-        fits = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["last"] >= r["first"])
-        return F.when(fits, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(r)))
-
-    return F.aggregate(F.array_sort(runs), empty, add)
-
-
 def item_digest(items: list[str]) -> str:
     """The digest column of a list of items."""
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
@@ -179,16 +188,30 @@ def item_digest(items: list[str]) -> str:
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item: str = "item_id", size: int = 10) -> DataFrame:
     """Rows of ``df``, all columns, whose text holds no window of the benchmark."""
-    blocks = item_blocks(benchmark, item_text, item)
-    out = df
-    for x in blocks:
-        held, tag = df.sparkSession.sparkContext.broadcast(x), uuid.uuid4().hex
-        at = out.columns.index(text)
-
-        def run(batches, held=held, tag=tag, at=at):
-            windows = _windows(held, tag, size)
+    uri, blocks = window_table(benchmark, item_text, item, size)
+    out, at = df, df.columns.index(text)
+    for block in range(blocks):
+
+        def run(batches, block=block):
+            windows = _windows(uri, block, blocks)
             for b in batches:
                 yield b.filter(pa.array([not windows.scan(t)[1] for t in b.column(at).to_pylist()], pa.bool_()))
 
         out = out.mapInArrow(run, out.schema)
+        if block + 1 < blocks:
+            out = written(out, "clean-texts")
     return out
+
+
+#: DuckDB SQL of the query over ``documents`` and ``benchmark``.
+SQL = r"""
+with dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (select cast(item_id as varchar) as item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null and item_id is not null),
+win as (select distinct item, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as g from (select item, w, unnest(range(1, greatest(len(w) - 8, 2))) as i from iw where len(w) > 0)),
+dg as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as g from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, (select distinct n from win) where len(w) >= n)),
+hit as (select distinct doc_id, item, i, n from dg join win using (n, g)),
+cov as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by 1),
+its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hit) group by 1)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+from dw left join cov using (doc_id) left join its using (doc_id)
+"""

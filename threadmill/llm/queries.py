@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat
+from . import chat, decontaminate, suffix, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,6 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import warc
-
     return warc.round_trip(_table(spark, sf_dir, "pages"), least_bytes=0)
 
 
@@ -51,15 +49,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import decontaminate
-
     found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
-    return found.drop("items", "runs")
+    return found.drop("items", "runs", "spans")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import suffix
-
     return suffix.deduplicate(_table(spark, sf_dir, "documents"), length=200).drop("kept")
 
 
@@ -89,4 +83,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {"op3_tool_calls": chat.CHAT_LOG_SQL}
+ORACLES: dict[str, str] = {"op2_warc": warc.SQL, "op3_tool_calls": chat.CHAT_LOG_SQL, "op7_decontaminate": decontaminate.SQL, "op8_suffix_dedup": suffix.SQL}

@@ -544,3 +544,18 @@ def keep_unique(df: DataFrame, length: int = 200, text: str = "text", key: str =
             yield pa.RecordBatch.from_arrays(cols, names)
 
     return joined.mapInArrow(run, df.schema)
+
+
+#: DuckDB SQL of the query over ``documents``: every string of 200 bytes is counted.
+SQL = """
+with d as (select row_number() over () as r, doc_id, encode(coalesce(text, '')) as b from documents),
+w as (select r, i, md5_number(hex(b[i:i + 199])) as s from (select r, b, unnest(range(1, octet_length(b) - 198)) as i from d where octet_length(b) >= 200)),
+hits as (select r, i from w where s in (select s from w group by 1 having count(*) > 1)),
+marked as (select r, i, case when i > lag(i) over (partition by r order by i) + 200 or lag(i) over (partition by r order by i) is null then 1 else 0 end as first from hits),
+spans as (select r, min(i) as a, max(i) + 200 as e from (select r, i, sum(first) over (partition by r order by i) as k from marked) group by r, k),
+cuts as (select r, list([a, e] order by a) as c, count(*) as n_spans, sum(e - a) as n_removed from spans group by r),
+kept as (select doc_id, b, c, n_spans, n_removed from d left join cuts using (r))
+select doc_id, octet_length(b) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(case when c is null then b else unhex(array_to_string(list_transform(range(len(c) + 1), lambda k: hex(b[case when k = 0 then 1 else c[k][2] end:case when k = len(c) then octet_length(b) else c[k + 1][1] - 1 end])), '')) end) as kept_sha256
+from kept
+"""
