@@ -1,26 +1,29 @@
 """SimHash near-duplicates at a given shingle similarity, by ball hashing in several tables.
 
 Texts of Jaccard similarity 0.8 differ in 15 % of SimHash bits, too many for one ball: 64 bits
-would have to be searched up to 10 apart. So a wide fingerprint (``WIDE`` bits) is kept for checking, and
+would have to be searched up to 10 apart. So a wide fingerprint (``WIDE`` bits) is made, and
 ``TABLES`` parts of it, ``PART`` bits each, are searched for neighbours at most 4 bits apart by
 meet-in-the-middle ball hashing: each part emits all variants within 2 bits, variants meet in a
-shuffle, and colliding pairs that are close in the wide fingerprint are decided by the exact Jaccard
+shuffle, and colliding pairs that are close in the other 192 bits are decided by the exact Jaccard
 similarity of their shingle sets (64-bit hashes). A pair of similarity 0.8 meets in
 one of the tables with a probability of 0.96 (its copies add to that), a random pair of
 part values with one of 1e-6.
 
 The shuffle is factored as in ``simhash``: variants travel by their leading bits, and the rest is
 written out after it. The number of leading bits follows the number of fingerprints, so that a bucket
-stays a few tens of thousands. Equal sets are one node. Up to ``ALL_PAIRS`` owners of a variant are
-paired all; of more, each is paired with the ``HUBS`` that share most variants with others: an original
-among its edited copies. A first pass over one table pairs each owner with the busiest alone and joins most
-of a dense group; the pass over all tables leaves out pairs of one class. Rows carry 192 bits more, by
-which most false pairs are known at once.
+stays a few tens of thousands. Equal sets are one node. Each owner of a variant is paired with the one that
+shares most variants with others (an original among its edited copies), never all with all. A first pass over one
+table joins most of a dense group; the pass over all tables leaves out pairs of one class. Rows carry 192 bits
+more, by which most false pairs are known at once.
 
 These passes find most classes cheaply but may miss links, so a last pass leaves nothing to chance
 (``remaining``): sets of similarity t share a shingle in their prefixes, the first n - ceil(t n) + 1
 shingles in one order of all. All pairs of different classes that meet in such a shingle are decided exactly; those of
-one class need not be. Frequent shingles come last in the order, which keeps their meetings few.
+one class need not be. Frequent shingles come last in the order, which keeps their meetings few. A shingle that
+more than ``CROWD`` sets meet in is dealt out in blocks, so that no task holds all its sets.
+
+One pass over the texts keeps fingerprints, prefixes and a digest of each set. Sets themselves are made again from
+the texts of those rows alone that some pair asks for.
 
 Defined results: as in ``simhash``; texts without words share one class; a text of fewer words than
 a shingle is one shingle.
@@ -37,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .simhash import BUNDLE, GATHER, _bundles, _popcount, components, masks
-from .storage import realigned, written
+from .simhash import BUNDLE, GATHER, _bundles, _popcount, components, masks, shingle_pieces
+from .storage import discard, realigned, written
 
 #: Bits of the fingerprint that pairs are checked on, in words of 64.
 WIDE = 512
@@ -49,21 +52,19 @@ PART = 36
 RADIUS = 2
 #: Fingerprints at home in a bucket, about.
 HOME = 16_000
-#: Owners of a variant that are paired all, and owners that each is paired with where there are more.
-ALL_PAIRS = 6
-HUBS = 2
-#: Deviations of the number of differing bits that pairs are given before they are checked exactly.
-SLACK = 4.0
+#: Deviations of the number of differing bits that pairs of the SimHash passes are given before they are checked
+#: exactly; the exact search takes the rest.
+SLACK = 1.0
 #: Sets in the sample of frequent shingles, how many of them hold one that counts as frequent, and the most that are known.
 SAMPLE = 20_000
 OFTEN = 20
 FREQUENT = 50_000
 #: Rows whose shingle sets a task works on at a time.
 SLICE = 500
-#: Hash values by which sets to check are chosen: the most rows of a broadcast.
+#: Sets that meet in one shingle in one task, at most (two blocks of half as many), and hash values by which crowds are sought.
+CROWD = 40_000
 SPOTS = 1 << 20
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Eight lanes of one byte for the eight bits of a byte, first bit in the first lane.
 _LANES = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -78,17 +79,7 @@ def _words_of_hash(h: np.ndarray, n: int) -> np.ndarray:
 
 def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
     """Distinct XXH64 values of a text's lower-cased (A-Z) word shingles."""
-    from xxhash import xxh64_intdigest as digest
-
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    joined, n = b" ".join(parts), len(parts)
-    if n <= words:
-        return np.array([digest(joined, seed)], np.uint64)
-    ends = list(itertools.accumulate(map(len, parts), lambda a, b: a + b + 1))
-    starts = [0, *(e + 1 for e in ends[: n - words])]
-    return np.unique(np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :])], np.uint64))
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_pieces(text, words, seed)]))
 
 
 def wide_fingerprint(text: str | None, words: int = 5) -> np.ndarray:
@@ -122,16 +113,16 @@ def parts_of(wide: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=2).view(">u8").astype(np.uint64).reshape(len(wide), TABLES)
 
 
-def most_bits(similarity: float, slack: float = 1.0) -> int:
-    """Differing bits of ``WIDE`` that pairs of this Jaccard similarity have at most, up to ``slack`` deviations."""
+def most_bits(similarity: float, bits: int, slack: float = SLACK) -> int:
+    """Differing bits of ``bits`` that pairs of this Jaccard similarity have at most, up to ``slack`` deviations."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(WIDE * p + slack * math.sqrt(WIDE * p * (1 - p)))
+    return math.floor(bits * p + slack * math.sqrt(bits * p * (1 - p)))
 
 
-def _pairs(value: np.ndarray, owner: np.ndarray, known: np.ndarray, star: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of owners of equal values: all of few owners, else each with the ``HUBS`` busiest.
+def _pairs(value: np.ndarray, owner: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of owners of equal values: each with the one of them that shares most values with others.
 
-    ``known``: each owner's class so far; pairs inside one are left out. ``star``: each with the busiest alone.
+    ``known``: each owner's class so far; pairs inside one are left out.
     """
     ordered = np.sort(value)
     shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
@@ -144,18 +135,10 @@ def _pairs(value: np.ndarray, owner: np.ndarray, known: np.ndarray, star: bool)
     busy = np.bincount(owner, np.bincount(place)[place])
     by = np.lexsort((owner, -busy[owner], place))
     place, owner = place[by], owner[by]
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    size = np.diff(np.append(first, len(place)))
-    start, size = np.repeat(first, size), np.repeat(size, size)
-    index = np.arange(len(place))
-    at = index - start
-    out = []
-    for step in range(1 if star else ALL_PAIRS - 1):  # with the member at this place of its group
-        ok = (at > step) & ((size <= ALL_PAIRS) | (step < HUBS))
-        ok[ok] &= known[owner[start[ok] + step]] != known[owner[index[ok]]]
-        out.append(np.stack([owner[start[ok] + step], owner[index[ok]]], 1))
-    pair = np.sort(np.concatenate(out), axis=1)
-    pair = np.unique(pair[pair[:, 0] != pair[:, 1]], axis=0)
+    first = np.concatenate([[True], place[1:] != place[:-1]])
+    star = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    pair = np.sort(np.stack([star, owner], 1)[known[star] != known[owner]], axis=1)
+    pair = np.unique(pair, axis=0)
     return pair[:, 0], pair[:, 1]
 
 
@@ -198,13 +181,16 @@ def _sliced(batches):
             yield b.slice(at, SLICE)
 
 
-def _gathered(batches, key: int):
-    """Lists of batches' columns: about GATHER rows, cut where the sorted column at ``key`` changes."""
+def _gathered(batches, *keys: int):
+    """Lists of batches' columns: about GATHER rows, cut where the sorted columns at ``keys`` change."""
     held, size = [], 0
     for t in batches:
         cols = [x.to_numpy(zero_copy_only=False) for x in t.columns]
         if held and size >= GATHER:
-            change = np.flatnonzero(cols[key] != held[-1][key][-1])
+            other = np.zeros(len(cols[0]), bool)
+            for k in keys:
+                other |= cols[k] != held[-1][k][-1]
+            change = np.flatnonzero(other)
             if len(change):
                 cut = change[0]
                 held.append([c[:cut] for c in cols])
@@ -217,8 +203,8 @@ def _gathered(batches, key: int):
         yield held
 
 
-def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, star: bool = False) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of nodes of different classes that share a variant in some table.
+def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of nodes of different classes that share a variant in some table: each node with the busiest.
 
     ``nodes``: ``node`` (long, distinct), ``parts`` (array of ``TABLES`` longs), ``wide`` and ``known`` (the class so
     far, a long); ``count``: their number. Pairs whose last 192 bits differ in more than ``most`` are left out. Only the first ``tables`` parts are searched.
@@ -245,7 +231,7 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
             tail = np.stack([x[at] for x in more], 1).view(np.uint64)
             for h, s, rows, low_bits in _dealt(home[at], spent[at], top, int(weight[at].sum())):
                 values, owners = _variants(h | u[rows], s, rows, low_bits)
-                i, j = _pairs(values, owners, c, star)
+                i, j = _pairs(values, owners, c)
                 near = _popcount(tail[i] ^ tail[j]).sum(axis=1, dtype=np.int64) <= most
                 i, j = i[near], j[near]
                 out.append(np.stack([np.minimum(n[i], n[j]), np.maximum(n[i], n[j])], 1))
@@ -261,40 +247,35 @@ def candidates(nodes: DataFrame, count: int, most: int, tables: int = TABLES, st
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def frequent(rows: DataFrame, count: int) -> np.ndarray:
-    """Shingles that many of a sample of the sets hold, ascending. Which they are changes no result."""
-    sample = rows.where(F.pmod(F.xxhash64("digest"), F.lit(max(1, count // SAMPLE))) == 0)
-    found = sample.select(F.explode("set").alias("h")).groupBy("h").count().where(F.col("count") >= OFTEN)
+def frequent(source: DataFrame, count: int, words: int) -> np.ndarray:
+    """Shingles that many of a sample of the texts hold, ascending. Which they are changes no result."""
+
+    def run(batches):
+        for t in _sliced(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *(shingle_hashes(x, words) for x in t.column(0).to_pylist())]).view(np.int64))], ["h"])
+
+    sample = source.where(F.pmod(F.xxhash64("_row"), F.lit(max(1, count // SAMPLE))) == 0).select("_text")
+    found = sample.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= OFTEN)
     return np.sort(np.array([r.h for r in found.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()], np.int64))
 
 
-def prefixes(rows: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
-    """``node``, size ``n`` and ``prefix`` of each set: so many of its shingles, frequent ones last, then by
-    value, that two sets of this similarity have their first common shingle in both prefixes. ``low``: the
-    last 16 bits of each."""
+def prefix_of(h: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """So many of a set's shingles (signed, ascending), frequent ones last, then by value, that two sets of this
+    similarity have their first common shingle in both prefixes."""
+    if not len(h):
+        return h
+    late = np.zeros(len(h), bool)
+    if len(often):
+        late = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h
+    return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
 
-    def run(batches):
-        for t in _sliced(batches):
-            n = t.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            h = t.column(1).flatten().to_numpy(zero_copy_only=False)
-            late = np.isin(h, often)
-            h = h[np.argsort(np.repeat(np.arange(len(n)) * 2, n) + late, kind="stable")]
-            keep = np.where(n > 0, n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, 0)
-            at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-            ends = np.append(0, np.cumsum(keep))
-            h = h[at < np.repeat(keep, n)]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h, pa.int64()))
-            low = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(h.astype(np.uint16))])
-            yield pa.RecordBatch.from_arrays([t.column(0), pa.array(n, pa.int32()), lists, low], ["node", "n", "prefix", "low"])
-
-    return rows.select("node", "set").mapInArrow(run, "node long, n int, prefix array<long>, low binary")
-
-
-def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+
+def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of rows of equal ``h`` and different classes that may be so similar.
 
     ``at``: the shingle's place in a row's set of ``n``. A pair is left out if the places from there on are too
-    few; at the first common shingle they are not, if it is so similar. ``h`` is ascending.
+    few; at the first common shingle they are not, if it is so similar. ``h`` is ascending. ``side``: rows of
+    one side (from 1 on) are not compared with one another; 0 is none.
     """
     group = np.cumsum(np.append(0, h[1:] != h[:-1]))
     by = np.lexsort((known, group))
@@ -316,32 +297,59 @@ def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, sim
             break
         i, j = by[start[index] + step], by[index]
         need = similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9
-        ok = (known[i] != known[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
+        ok = (known[i] != known[j]) & ((side[i] == 0) | (side[i] != side[j])) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
         out.append(np.stack([i[ok], j[ok]], 1))
         step += 1
     pair = np.concatenate(out)
     return pair[:, 0], pair[:, 1]
 
 
+def _crowds(sent: DataFrame) -> DataFrame | None:
+    """``h`` and the number of ``blocks`` of shingles that more than ``CROWD`` sets meet in; None if there are none.
+
+    Hash values are counted first: most shingles share theirs with too few to be counted themselves.
+    """
+    spot = F.pmod(F.xxhash64("h"), F.lit(SPOTS))
+    spots = written(sent.groupBy(spot.alias("_spot")).count().where(F.col("count") > CROWD).select("_spot"), "crowded-spots")
+    if not spots.head(1):
+        discard(spots)
+        return None
+    held = sent.withColumn("_spot", spot).join(spots, "_spot", "left_semi")
+    crowds = written(held.groupBy("h").count().where(F.col("count") > CROWD).select("h", F.ceil(F.col("count") * 2 / CROWD).alias("blocks")), "crowds")
+    return crowds if crowds.head(1) else None
+
+
 def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of nodes of different classes: all that may be this similar.
 
-    ``prefix`` as ``prefixes`` makes it; ``known``: ``node``, ``known``.
+    ``prefix``: ``node``, size ``n``, ``prefix``; ``known``: ``node``, ``known``.
     """
     sent = prefix.join(known, "node").select("node", "n", "known", F.posexplode("prefix").alias("at", "h"))
+    crowds = _crowds(sent.select("h"))
+    none = F.lit(0).cast("long")
+    if crowds is None:
+        sent = sent.select("*", none.alias("part"), none.alias("side"))
+    else:
+        # Each set of a crowd goes to all pairs of blocks that its own block is in.
+        mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+        crowded = sent.join(crowds, "h").select(*sent.columns, mine.alias("mine"), "blocks", F.explode(F.sequence(none, F.col("blocks") - 1)).alias("with"))
+        first, second = F.least("mine", "with"), F.greatest("mine", "with")
+        side = F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2).cast("long")
+        crowded = crowded.select(*sent.columns, (first * F.col("blocks") + second).alias("part"), side.alias("side"))
+        sent = sent.join(crowds, "h", "left_anti").select(*sent.columns, none.alias("part"), none.alias("side")).unionByName(crowded)
 
     def run(batches):
-        for held in _gathered(batches, 4):
-            node, n, known, at, h = (np.concatenate(x) for x in zip(*held))
-            i, j = _across(h, at.astype(np.int64), n.astype(np.int64), known, similarity)
+        for held in _gathered(batches, 4, 5):
+            node, n, known, at, h, part, side = (np.concatenate(x) for x in zip(*held))
+            i, j = _across(np.cumsum(np.append(0, (np.diff(h) != 0) | (np.diff(part) != 0))), at.astype(np.int64), n.astype(np.int64), known, side, similarity)
             pair = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
-    return sent.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long").distinct()
+    return sent.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(run, "a long, b long").distinct()
 
 
 def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFrame:
-    """Pairs without those whose prefixes share too little for the similarity.
+    """Pairs without those whose prefixes (``node``, size ``n``, ``low``: the last 16 bits of each shingle) share too little.
 
     Up to where the first of two prefixes ends, what is common is in both; of the rest, all may be. Shingles
     that agree in 16 bits count as common, which leaves out no pair.
@@ -349,7 +357,7 @@ def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFram
     one, two = (prefix.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("low").alias(f"l{k}")) for k in "ab")
 
     def run(batches):
-        for t in batches:
+        for t in _sliced(batches):
             n, low, size = [], [], []
             for i in (2, 3):
                 n.append(t.column(i).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -364,26 +372,41 @@ def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "la", "lb").mapInArrow(run, "a long, b long")
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose shingle sets (``node``, ``set``: ascending) are at least this similar, exactly.
+def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs whose shingle sets are at least this similar, exactly; a written table.
 
-    Only sets that some pair asks for are shuffled, and a few more: they are chosen by ``SPOTS`` hash values.
+    Sets are made from the texts of rows that some pair asks for: ``rows`` tells the ids of a node's row in ``source``.
     """
     pairs = written(pairs, "candidates")
-    spot = F.pmod(F.xxhash64("node"), F.lit(SPOTS))
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(spot.alias("_spot")).distinct()
-    some = sets.withColumn("_spot", spot).join(F.broadcast(asked), "_spot", "left_semi")
-    one, two = (some.select(F.col("node").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
+    asked = rows.select("_row", "_key", "_odd").join(realigned(nodes, "_row"), "_row")
+    on = (source["_key"].eqNullSafe(asked["_key"])) & (source["_odd"].eqNullSafe(asked["_odd"]))
+    texts = source.join(asked, on).select(asked["_row"].alias("node"), source["_text"])
 
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(one, "a").join(two, "b").where(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b")
+    def sets(batches):
+        for t in _sliced(batches):
+            made = [shingle_hashes(x, words) for x in t.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, made)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *made]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([t.column(0), lists], ["node", "set"])
 
+    sets = written(texts.mapInArrow(sets, "node long, set array<long>"), "sets")
+    one, two = (sets.select(F.col("node").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
 
-def _close(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose wide fingerprints leave such a similarity possible, up to ``SLACK`` deviations."""
-    one, two = (nodes.select(F.col("node").alias(k), F.col("wide").alias(f"w{k}")) for k in "ab")
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return pairs.join(one, "a").join(two, "b").where(apart <= most_bits(similarity, SLACK)).select("a", "b")
+    def run(batches):
+        for t in _sliced(batches):
+            near = np.zeros(t.num_rows, bool)
+            of = [(x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in (t.column(2), t.column(3))]
+            for i in range(t.num_rows):
+                x, y = (h[at[i] : at[i + 1]] for at, h in of)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near[i] = both >= similarity * (len(x) + len(y) - both) - 1e-9
+            near = pa.array(near)
+            yield pa.RecordBatch.from_arrays([t.column(0).filter(near), t.column(1).filter(near)], ["a", "b"])
+
+    out = written(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "similar-pairs")
+    discard(pairs, sets)
+    return out
 
 
 def _tree(classes: DataFrame) -> DataFrame:
@@ -392,51 +415,58 @@ def _tree(classes: DataFrame) -> DataFrame:
 
 
 def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs), ``_text``."""
+    """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs, together distinct), ``_text``; a written table."""
+    texts, source = source, source.select(F.monotonically_increasing_id().alias("_row"), "_key", "_odd", "_text")
+    often = frequent(source, source.count(), words)
 
     def prints(batches):
         for b in _sliced(batches):
-            sets = [shingle_hashes(t, words) for t in b.column(3).to_pylist()]
+            sets = [_ascending(shingle_hashes(t, words)) for t in b.column(3).to_pylist()]
             wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
             n = len(wide)
             parts = parts_of(wide) if n else np.zeros((0, TABLES), np.uint64)
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (wide, parts)]
-            ends = np.concatenate([[0], np.cumsum([len(h) for h in sets], dtype=np.int64)])
-            lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *(_ascending(h) for h in sets)]).view(np.int64))))
+            prefix = [prefix_of(h.view(np.int64), often, similarity) for h in sets]
+            ends = np.cumsum([0, *map(len, prefix)])
+            lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix]))))
+            low = pa.array([h.astype(np.uint16).tobytes() for h in prefix], pa.binary())
             digest = pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], digest, *lists], ["_row", "_key", "_odd", "digest", "wide", "parts", "set"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], digest, pa.array(list(map(len, sets)), pa.int32()), *lists, low], ["_row", "_key", "_odd", "digest", "n", "wide", "parts", "prefix", "low"])
 
-    source = source.select(F.monotonically_increasing_id().alias("_row"), "_key", "_odd", "_text")
-    rows = written(source.mapInArrow(prints, "_row long, _key long, _odd long, digest binary, wide array<long>, parts array<long>, set array<long>"), "wide-fingerprints")
+    kinds = "_row long, _key long, _odd long, digest binary, n int, wide array<long>, parts array<long>, prefix array<long>, low binary"
+    rows = written(source.mapInArrow(prints, kinds), "wide-fingerprints")
     # Equal sets are one node, named by a row of it.
     of_digest = written(rows.groupBy("digest").agg(F.min("_row").alias("node")), "digests")
     named = of_digest.select("node")
     nodes = written(rows.select(F.col("_row").alias("node"), "wide", "parts").join(realigned(named, "node"), "node"), "nodes")
-    sets = rows.select(F.col("_row").alias("node"), "set")
     count = nodes.count()
-    share = most_bits(similarity, 0) / WIDE
-    most = math.floor(192 * share + SLACK * math.sqrt(192 * share * (1 - share)))
-    # First the busiest partners in one table, which joins most of a dense group; then all tables, for
-    # pairs of different classes alone.
-    first = _checked(_close(candidates(nodes.withColumn("known", F.col("node")), count, most, 1, True), nodes, similarity), sets, similarity)
-    early = written(components(first), "early-classes")
+    most = most_bits(similarity, 192)
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return _checked(pairs, rows, texts, words, similarity)
+
+    # One table joins most of a dense group; then all tables, for pairs of different classes alone.
+    early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1))), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
-    later = _checked(_close(candidates(told, count, most), nodes, similarity), sets, similarity)
+    later = similar(candidates(told, count, most))
     # The search so far may have missed pairs: what is left between classes is searched exactly.
     found = written(components(later.unionByName(_tree(early))), "found-classes")
-    of_sets = rows.select(F.col("_row").alias("node"), "digest", "set")
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
-    prefix = prefixes(of_sets, frequent(of_sets, count), similarity)
-    rest = _checked(possible(remaining(prefix, told, similarity), prefix, similarity), sets, similarity)
+    prefix = rows.select(F.col("_row").alias("node"), "n", "prefix")
+    short = rows.select(F.col("_row").alias("node"), "n", "low")
+    rest = similar(possible(remaining(prefix, told, similarity), short, similarity))
     classes = components(rest.unionByName(_tree(found)))
     of_print = of_digest.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
-    return rows.select("_key", "_odd", "digest").join(of_print, "digest").select("_key", "_odd", "class")
+    out = written(rows.select("_key", "_odd", "digest").join(realigned(of_print, "digest"), "digest").select("_key", "_odd", "class"), "classes")
+    discard(rows, of_digest, nodes, early, later, found, rest)
+    return out
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``key`` and ``component_id`` (least ``key`` of the class) of every row."""
-    source = df.select(F.col(key).cast("long").alias("_key"), F.lit(None).cast("long").alias("_odd"), F.col(text).alias("_text"))
-    rows = written(_classes(source, words, similarity), "classes")
+    numbered = written(df.select(F.col(key).cast("long").alias("_key"), F.monotonically_increasing_id().alias("_odd"), F.col(text).alias("_text")), "numbered-texts")
+    rows = _classes(numbered, words, similarity)
+    discard(numbered)
     least = rows.groupBy("class").agg(F.min("_key").alias("component_id"))
     return rows.join(realigned(least, "class"), "class").select(F.col("_key").alias(key), "component_id")
 
@@ -457,7 +487,9 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int
     of_text = F.col("_of").getField(text).alias("_text")
     source = plain.select("_key", F.lit(None).cast("long").alias("_odd"), of_text).unionByName(odd.select("_key", "_odd", of_text))
     first = F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "_odd"))
-    kept = written(_classes(source, words, similarity).groupBy("class").agg(first.alias("f")).select("f._key", "f._odd"), "kept")
+    classes = _classes(source, words, similarity)
+    kept = written(classes.groupBy("class").agg(first.alias("f")).select("f._key", "f._odd"), "kept")
+    discard(classes)
     plainly = kept.where("_odd is null").select("_key")
     oddly = kept.where("_odd is not null").select("_odd")
     stay = plain.join(realigned(plainly, "_key"), "_key", "left_semi").select("_of").unionByName(odd.join(oddly, "_odd", "left_semi").select("_of"))
