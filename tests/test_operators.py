@@ -110,9 +110,9 @@ def test_missing_length_is_an_error(spark):
         materialize.length_join(rows(spark, [("a",), ("b",)], "message_id string"), rows(spark, [("a", 3)], "message_id string, length long")).collect()
 
 
-@pytest.mark.parametrize("broadcast", [20_000, 0])
-def test_guard_equals_all_pairs(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(guard, "BROADCAST_ROWS", broadcast)
+@pytest.mark.parametrize("block", [4_096, 7])
+def test_guard_equals_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(guard, "BLOCK", block)
     random.seed(5)
     words = [f"w{i}" for i in range(12)]
     data = []
@@ -136,7 +136,7 @@ def test_guard_equals_all_pairs(spark, monkeypatch, broadcast):
     assert {(x.row_a, x.row_b) for x in got} == want and len(got) == len(want)
     assert ("e1", "e2") in want
     with pytest.raises(ValueError):
-        guard.contamination_pairs(prints, bits=11)
+        guard.contamination_pairs(prints, bits=65)
 
 
 def test_replay_counts_follow_the_loop(spark):
@@ -257,3 +257,62 @@ def test_entry(spark):
 
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_ranks_and_sums_over_one_hot_group(spark):
+    """One sender holds nearly all rows, ids share a prefix, column names clash, groups may be null."""
+    from threadmill.operators import materialize, sampling
+
+    rows = [("hot" if i % 50 else None, f"subject-{i:05d}", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "sender string, message_id string, size long").withColumns({"position": F.lit(1), "shard": F.lit("x"), "_p": F.lit(2)}).repartition(5)
+    got = materialize.ranked(df, ["sender"], ["message_id"], "r")
+    assert got.columns == [*df.columns, "r"]
+    want = {}
+    for sender, message, _ in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        want[message] = 1 + sum(1 for x in want if (rows[int(x[-5:])][0] == sender))
+    assert {r.message_id: r.r for r in got.collect()} == want
+    sums = {r.message_id: r.before for r in materialize.sum_before(df, F.col("size"), ["message_id"], "before").collect()}
+    assert sums == {m: sum(range(n)) for _, m, n in rows}
+    caps = sampling.bucket_caps_sample(df.withColumn("length", F.lit(10)), {"short": 30, "long": 5}, 20)
+    assert sorted(r.position for r in caps.collect()) == list(range(1, 21))
+
+
+def test_anti_joins_with_clashing_names(spark):
+    from threadmill.operators import materialize
+
+    rows = spark.createDataFrame([("a", "t", 1), ("b", None, 2), (None, "u", 3)], "message_id string, thread_id string, _gone int").withColumns({"__gone": F.lit(0), "_id": F.lit(0)})
+    gone = spark.createDataFrame([("a", "message"), (None, "message"), ("u", "thread")], "id string, level string")
+    assert [r.message_id for r in materialize.exclude_anti(rows, gone, "message_id").orderBy("_gone").collect()] == ["b", None]
+    assert [r.message_id for r in materialize.tombstone_anti(rows, gone).collect()] == ["b"]
+
+
+def test_ratios(spark):
+    from threadmill.operators import sampling
+
+    assert sampling.parse_ratio("1:4") == (1, 4) and sampling.parse_ratio(" 0:3 ") == (0, 3)
+    for bad in ("", "1", "1:0", "a:b", "1:2:3", "-1:2"):
+        with pytest.raises(ValueError):
+            sampling.parse_ratio(bad)
+
+
+def test_guard_finds_all_close_fingerprints(spark, monkeypatch):
+    import random
+
+    from threadmill.operators import guard
+
+    rng = random.Random(3)
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        x = rng.choice(centres)
+        for _ in range(rng.randint(0, 7)):
+            x ^= 1 << rng.randrange(64)
+        rows.append((f"r{i}", ("train", "val", "test")[i % 3], x - (1 << 64) if x >> 63 else x))
+    rows += [("copy", "test", rows[0][2]), ("same", "train", rows[0][2])]
+    rank = {"train": 0, "val": 1, "test": 2}
+    want = {(a[0], b[0]) for a in rows for b in rows if rank[a[1]] < rank[b[1]] and (((a[2] ^ b[2]) & (1 << 64) - 1).bit_count() <= 8)}
+    prints = spark.createDataFrame(rows, "row_id string, split string, simhash long")
+    for block in (4_096, 20):
+        monkeypatch.setattr(guard, "BLOCK", block)
+        got = [(r.row_a, r.row_b) for r in guard.close_fingerprints(prints, 8).collect()]
+        assert len(got) == len(set(got)) and set(got) == want

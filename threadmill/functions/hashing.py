@@ -62,14 +62,13 @@ def simhash64(tokens: DataFrame, key: str = "row_id", token: str = "token") -> D
     """``key`` and ``simhash``: the sign of the sum of +1/-1 of each token's hash bits, by occurrence.
 
     ``tokens`` has a row for each token; rows with a null token only name a key, and a key without
-    tokens has fingerprint 0.
+    tokens has fingerprint 0. Tokens that one row was exploded to are added up before the shuffle.
     """
-    counted = tokens.groupBy(key, token).agg(F.count("*").alias("n"))
-    hashed = counted.select(key, F.when(F.col(token).isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("n"), F.coalesce(token_hash(F.col(token)), F.lit(0)).alias("h"))
-    sums = hashed.groupBy(key).agg(*[F.sum(F.col("n") * (F.getbit("h", F.lit(i)).cast("long") * 2 - 1)).alias(f"s{i}") for i in range(64)])
+    hashed = tokens.select(key, F.col(token).isNotNull().cast("int").alias("n"), F.coalesce(token_hash(F.col(token)), F.lit(0)).alias("h"))
+    sums = hashed.groupBy(key).agg(F.sum("n").alias("n"), *[F.sum(F.getbit("h", F.lit(i)).cast("int")).alias(f"s{i}") for i in range(64)])
     value = F.lit(0).cast("long")
     for i in range(64):
-        value = value.bitwiseOR(F.when(F.col(f"s{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        value = value.bitwiseOR(F.when(F.col(f"s{i}") * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     return sums.select(key, value.alias("simhash"))
 
 

@@ -1,25 +1,28 @@
 """Contamination between splits: similar shingles or similar SimHash fingerprints.
 
 Both candidate searches are exact. Jaccard uses prefixes: of two sets with similarity t, the first
-n - ceil(t n) + 1 elements in any common order share one, so only prefixes are joined, and sizes
-must agree within t. Hamming uses blocks: with ``blocks`` blocks and at most h differing bits, at least
-blocks - h blocks are equal, so rows meet on every choice of that many. Up to ``BROADCAST_ROWS`` rows
-(counted first) the fingerprints alone are compared with a broadcast copy, which gives the same pairs.
+n - ceil(t n) + 1 elements in any common order share one. The order is by frequency, rarest first, so that
+most of a prefix is shingles that no other row has, which need not be sent at all; sizes must agree within t.
+Hamming compares the distinct fingerprints of later splits with those of earlier ones, block by block: fingerprints
+are dealt into blocks of about ``BLOCK`` and each pair of blocks is one group of a shuffle, compared word by word. That is
+quadratic, as the definition is: fingerprints of texts of one language lie so close together that keys of
+equal bits (11 blocks, any 3 equal) brought more candidates than there are pairs.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
 from ..session import written
 
-#: Rows up to which fingerprints (24 bytes each) are compared with a broadcast copy instead of by blocks.
-BROADCAST_ROWS = 20_000
+#: Fingerprints in a block.
+BLOCK = 4_096
 #: Pairs of splits that are compared, in order.
 SPLIT_PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
 
@@ -38,42 +41,93 @@ def fingerprints(rows: DataFrame, width: int = 5, quotes: bool = True) -> DataFr
     return written(base.select("row_id", "split", "thread_id", grams.alias("grams")).join(hashes, ["split", "row_id"]), "fingerprints")
 
 
+def _rank(split: str = "split"):
+    return F.when(F.col(split) == "train", 0).when(F.col(split) == "val", 1).otherwise(2)
+
+
 def _both_sides(keyed: DataFrame, on: list[str]) -> DataFrame:
-    """Distinct pairs (split_a, row_a, split_b, row_b) of rows of different splits that share a key."""
-    rank = F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
-    keyed = keyed.withColumn("k", rank)
-    left = keyed.select(*on, F.col("split").alias("split_a"), F.col("row_id").alias("row_a"), F.col("k").alias("ka"), F.col("n").alias("na"))
-    right = keyed.select(*on, F.col("split").alias("split_b"), F.col("row_id").alias("row_b"), F.col("k").alias("kb"), F.col("n").alias("nb"))
+    """Pairs (``split_a``, ``row_a``, ``na``, and so on) of rows of different splits that share a key."""
+    keyed = keyed.withColumn("k", _rank())
+    left, right = (keyed.select(*on, F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}"), F.col("k").alias(f"k{s}"), F.col("n").alias(f"n{s}")) for s in "ab")
     return left.join(right, on).where("ka < kb")
 
 
-def contamination_pairs(prints: DataFrame, similarity: float = 0.7, bits: int = 8, blocks: int = 11) -> DataFrame:
+def rare_prefixes(prints: DataFrame, similarity: float) -> DataFrame:
+    """``split``, ``row_id``, size ``n`` and each ``gram`` of the row's prefix that another row has too, rarest first."""
+    n = F.size("grams")
+    each = prints.where(n > 0).select("split", "row_id", n.alias("n"), F.explode("grams").alias("gram"))
+    shared = each.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    held = each.join(shared, "gram").groupBy("split", "row_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    # What is left of the prefix after the row's own shingles, which come first.
+    left = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1 - (F.col("n") - F.size("g"))
+    return held.where(left > 0).select("split", "row_id", "n", F.explode(F.slice("g", F.lit(1), F.greatest(left, F.lit(1)))).alias("x")).select("split", "row_id", "n", F.col("x.gram").alias("gram"))
+
+
+def _close(k: np.ndarray, v: np.ndarray, side: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of ``v`` at most ``bits`` apart with ``k`` ascending; of two sides only across them."""
+    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if (side == 1).any() else (np.arange(len(v)),) * 2
+    for at in range(0, len(one), 256):
+        part = one[at : at + 256]
+        i, j = np.nonzero(np.bitwise_count(v[part, None] ^ v[None, two]) <= bits)
+        i, j = part[i], two[j]
+        across = k[i] < k[j] if one is two else k[i] != k[j]
+        i, j = i[across], j[across]
+        swap = k[i] > k[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        yield k[i], v[i], k[j], v[j]
+
+
+def close_fingerprints(prints: DataFrame, bits: int) -> DataFrame:
+    """Pairs (``split_a``, ``row_a``, ``split_b``, ``row_b``) of rows of different splits at most ``bits`` apart."""
+    # One row for a fingerprint in a split; members come back at the end.
+    kinds = written(prints.groupBy(_rank().alias("k"), F.col("simhash").alias("v")).agg(F.count("*")), "distinct-fingerprints")
+    blocks = F.lit(-(-kinds.count() // BLOCK) or 1)
+    mine = kinds.select("k", "v", F.pmod(F.xxhash64("k", "v"), blocks).alias("mine"))
+    sent = mine.select("k", "v", "mine", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
+    first = F.least("mine", "with")
+    sent = sent.select((first * blocks + F.greatest("mine", "with")).cast("long").alias("pair"), "k", "v", (F.col("mine") > F.col("with")).cast("int").alias("side"))
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+
+        def compared():
+            pair, k, v, side = (np.concatenate(x) for x in zip(*held))
+            for a in _close(k, v.view(np.uint64), side, bits):
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in a], ["ka", "va", "kb", "vb"])
+
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            for part in np.split(np.arange(b.num_rows), np.flatnonzero(np.diff(cols[0])) + 1):
+                if held and len(part) and held[-1][0][-1] != cols[0][part[0]]:
+                    yield from compared()
+                    held = []
+                if len(part):
+                    held.append([c[part] for c in cols])
+        if held:
+            yield from compared()
+
+    found = sent.repartition("pair").sortWithinPartitions("pair").mapInArrow(run, "ka int, va long, kb int, vb long")
+    one, two = (prints.select(_rank().alias(f"k{s}"), F.col("simhash").alias(f"v{s}"), F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}")) for s in "ab")
+    return found.join(one, ["ka", "va"]).join(two, ["kb", "vb"]).select("split_a", "row_a", "split_b", "row_b")
+
+
+def contamination_pairs(prints: DataFrame, similarity: float = 0.7, bits: int = 8) -> DataFrame:
     """Pairs across splits that are similar by either measure and not of one thread.
 
     ``split_a``, ``split_b``, ``row_a``, ``row_b``, ``jaccard`` (3 digits), ``hamming``, ``thread_a``, ``thread_b``.
     """
-    if not 0 < similarity <= 1 or not bits < blocks:
-        raise ValueError("similarity must lie in (0, 1], and blocks must exceed bits")
-    n = F.size("grams")
-    prefix = F.slice("grams", 1, F.greatest(n - F.ceil(n * similarity - 1e-9).cast("int") + 1, F.lit(1)))
-    by_gram = prints.where(n > 0).select("split", "row_id", n.alias("n"), F.explode(prefix).alias("gram"))
+    if not 0 < similarity <= 1 or not 0 <= bits <= 64:
+        raise ValueError("similarity must lie in (0, 1] and bits in 0 to 64")
     near = F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-9
-    sets = _both_sides(by_gram, ["gram"]).where(near).select("split_a", "row_a", "split_b", "row_b").distinct()
-    close = F.bit_count(F.col("na").bitwiseXOR(F.col("nb"))) <= bits
-    if prints.count() <= BROADCAST_ROWS:
-        rank = F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
-        one, two = (prints.select(F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}"), rank.alias(f"k{s}"), F.col("simhash").alias(f"n{s}")) for s in "ab")
-        bitwise = one.join(F.broadcast(two), (F.col("ka") < F.col("kb")) & close).select("split_a", "row_a", "split_b", "row_b")
-    else:
-        edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-        parts = [F.shiftrightunsigned("simhash", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(blocks)]
-        keys = [F.xxhash64(F.lit(k), *[parts[i] for i in c]) for k, c in enumerate(itertools.combinations(range(blocks), blocks - bits))]
-        by_block = prints.select("split", "row_id", F.col("simhash").alias("n"), F.explode(F.array(*keys)).alias("block"))
-        bitwise = _both_sides(by_block, ["block"]).where(close).select("split_a", "row_a", "split_b", "row_b").distinct()
+    sets = _both_sides(rare_prefixes(prints, similarity), ["gram"]).where(near).select("split_a", "row_a", "split_b", "row_b").distinct()
+    bitwise = close_fingerprints(prints, bits)
     found = sets.unionByName(bitwise).distinct()
     a, b = (prints.select(F.col("split").alias(f"split_{s}"), F.col("row_id").alias(f"row_{s}"), F.col("thread_id").alias(f"thread_{s}"), F.col("grams").alias(f"grams_{s}"), F.col("simhash").alias(f"hash_{s}")) for s in "ab")
     full = found.join(a, ["split_a", "row_a"]).join(b, ["split_b", "row_b"])
-    alike = text.jaccard(F.col("grams_a"), F.col("grams_b"))
+    # Shingles are distinct: what both have tells the union.
+    both = F.size(F.array_intersect("grams_a", "grams_b"))
+    union = F.size("grams_a") + F.size("grams_b") - both
+    alike = F.when(union == 0, F.lit(0.0)).otherwise(both / union)
     apart = hashing.hamming(F.col("hash_a"), F.col("hash_b"))
     same = F.coalesce(F.col("thread_a") == F.col("thread_b"), F.lit(False))
     hit = full.select("split_a", "split_b", "row_a", "row_b", alike.alias("_j"), apart.alias("hamming"), "thread_a", "thread_b").where(~same)
@@ -102,13 +156,3 @@ def contamination_summary(pairs: DataFrame, rows: DataFrame, limit: float = 1.0)
 
     out = one.select("total_rows", "n_pairs", pct("n_pairs").alias("contamination_pct"), pct("involved").alias("contaminated_row_pct"))
     return out.withColumn("status", F.when(F.col("contamination_pct") <= limit, "PASS").otherwise("FAIL"))
-
-
-def least_blocks(bits: int, rows: int) -> int:
-    """Blocks that give keys of about log2(rows) bits for a Hamming limit."""
-    best = bits + 1
-    for b in range(bits + 1, 65):
-        if (b - bits) * 64 / b >= math.log2(max(rows, 2)):
-            return b
-        best = b
-    return best

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing
+from .materialize import ranked, shard_number
 
 SCHEMES = {"canonical": hashing.hash_bucket_100, "spec": hashing.hash_bucket_spec}
 
@@ -87,25 +88,6 @@ def quota_assign(threads: DataFrame, shares: tuple[float, float] = (0.8, 0.1), e
     return rows.select("thread_id", F.col("bucket").cast("long").alias("bucket"), F.when(F.col("train"), "train").when(F.col("val"), "val").otherwise("test").alias("split"))
 
 
-def ranked(rows: DataFrame, groups: list[str], order: list, name: str, buckets: int = 256) -> DataFrame:
-    """1-based rank in each group without one task per group.
-
-    Rows are dealt into ``buckets`` ranges of the first order column, ranked inside a range, and
-    shifted by the sizes of the ranges before it (a table of groups times buckets at most).
-    """
-    first = order[0] if isinstance(order[0], str) else None
-    if first is None or dict(rows.dtypes)[first] != "string":
-        by = Window.partitionBy(*groups).orderBy(*order)
-        return rows.withColumn(name, F.row_number().over(by))
-    # Prefix order of a string equals the order of the string itself.
-    head = F.coalesce(F.substring(F.col(first), 1, 3), F.lit(""))
-    marked = rows.withColumn("_head", head)
-    sizes = marked.groupBy(*groups, "_head").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*groups).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = marked.withColumn("_r", F.row_number().over(Window.partitionBy(*groups, "_head").orderBy(*order)))
-    return inside.join(before.drop("_n"), [*groups, "_head"]).withColumn(name, F.col("_r") + F.col("_before")).drop("_head", "_r", "_before")
-
-
 def window_coverage_gap(manifest: DataFrame, messages: DataFrame) -> DataFrame:
     """Threads whose frozen windows end before their messages do: ``thread_id``, ``covered``, ``n``, ``gap``."""
     ends = manifest.groupBy("thread_id").agg(F.max("window_end").alias("covered"))
@@ -126,6 +108,11 @@ def cohort_list(messages: DataFrame) -> DataFrame:
     return messages.groupBy("cohort").agg(F.count("*").alias("n"))
 
 
+def ordered_cohorts(messages: DataFrame) -> DataFrame:
+    """Distinct cohorts, rows without one left out, and their ``position`` in order."""
+    return shard_number(messages.where("cohort is not null").select("cohort").distinct(), 1, ["cohort"]).drop("shard")
+
+
 def thread_split_violations(manifest: DataFrame) -> DataFrame:
     """Threads in more than one split."""
     return manifest.groupBy("thread_id").agg(F.count_distinct("split").alias("n_splits")).where("n_splits > 1")

@@ -28,19 +28,29 @@ def nil_cohort_count(rows: DataFrame, cohort: str = "cohort") -> DataFrame:
     return rows.agg(F.count_if(F.coalesce(F.col(cohort), F.lit("")) == "").alias("n_nil"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def exclude_anti(rows: DataFrame, excluded: DataFrame, *ids: str) -> DataFrame:
     """Rows whose first non-null id is not excluded; rows without any id stay."""
     key = F.coalesce(*[F.col(i) for i in ids])
-    gone = excluded.select(F.col("id").alias("_gone")).where("_gone is not null").distinct()
-    return rows.join(gone, key == F.col("_gone"), "left_anti")
+    name = fresh(rows, "_gone")
+    gone = excluded.select(F.col("id").alias(name)).where(F.col(name).isNotNull()).distinct()
+    return rows.join(gone, key == F.col(name), "left_anti")
 
 
 def tombstone_anti(rows: DataFrame, tombstones: DataFrame, message: str = "message_id", thread: str = "thread_id", chunk: str | None = None) -> DataFrame:
     """Rows that no tombstone names, on any level (``level``, ``id``); order columns stay as they are."""
     for level, col in (("message", message), ("thread", thread), ("chunk", chunk)):
         if col and col in rows.columns:
-            gone = tombstones.where(F.col("level") == level).select(F.col("id").alias("_gone")).where("_gone is not null").distinct()
-            rows = rows.join(gone, F.col(col) == F.col("_gone"), "left_anti")
+            name = fresh(rows, "_gone")
+            gone = tombstones.where(F.col("level") == level).select(F.col("id").alias(name)).where(F.col(name).isNotNull()).distinct()
+            rows = rows.join(gone, F.col(col) == F.col(name), "left_anti")
     return rows
 
 
@@ -103,15 +113,50 @@ def shard_number(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
 
     Positions are prefix counts over range partitions: each task sorts its own range only.
     """
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
     from ..session import written
 
+    part, at, n, first, before = (fresh(rows, c) for c in ("_p", "_m", "_n", "_first", "_before"))
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()})
     dealt = written(dealt, "ranges")
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
+    sizes = dealt.groupBy(part).agg(F.count("*").alias(n), F.min(at).alias(first))
     # As many rows as there were tasks.
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    at = dealt.join(F.broadcast(before), "_p").withColumn("position", F.col("_m") - F.col("_first") + F.col("_before") + 1)
-    return at.withColumn("shard", F.floor((F.col("position") - 1) / size).cast("long") + 1).drop("_p", "_m", "_first", "_before")
+    sizes = sizes.withColumn(before, F.coalesce(F.sum(n).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop(n)
+    out = dealt.join(F.broadcast(sizes), part).withColumn("position", F.col(at) - F.col(first) + F.col(before) + 1)
+    return out.withColumn("shard", F.floor((F.col("position") - 1) / size).cast("long") + 1).drop(part, at, first, before)
+
+
+def sum_before(rows: DataFrame, size: Column, order: list[str], name: str) -> DataFrame:
+    """Rows with the sum of ``size`` (whole numbers) over the rows before them in the order, as ``name``.
+
+    Sums inside range partitions, then of whole partitions: each task sorts its own range only.
+    """
+    from ..session import written
+
+    part, own, n, ranges = (fresh(rows, c) for c in ("_p", "_size", "_n", "_of_ranges"))
+    dealt = written(rows.withColumn(own, size.cast("long")).repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # As many rows as there were tasks.
+    sums = dealt.groupBy(part).agg(F.sum(own).alias(n))
+    before = sums.select(part, F.coalesce(F.sum(n).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(ranges))
+    summed = dealt.withColumn(name, F.coalesce(F.sum(own).over(inside), F.lit(0)))
+    return summed.join(F.broadcast(before), part).withColumn(name, F.col(name) + F.col(ranges)).drop(part, own, ranges)
+
+
+def ranked(rows: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """1-based rank ``name`` in each group, nulls of a group column being one group.
+
+    Rows are numbered over range partitions of group and order, and a group's first number is taken off: a group
+    that holds most rows is sorted by many tasks.
+    """
+    from ..session import written
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_whole")
+    of, by = [f"_g{i}" for i in range(len(groups))], [f"_o{i}" for i in range(len(order))]
+    packed = rows.select(whole, *[F.col(c).alias(n) for c, n in zip([*groups, *order], [*of, *by])])
+    numbered = written(shard_number(packed, 1, [*of, *by]), "numbered")
+    starts = numbered.groupBy(*[F.col(g).alias(f"_of{g}") for g in of]).agg(F.min("position").alias("_start"))
+    same = [F.col(g).eqNullSafe(F.col(f"_of{g}")) for g in of]
+    return numbered.join(starts, same).select("_whole.*", (F.col("position") - F.col("_start") + 1).cast("int").alias(name))
 
 
 def split_distribution(rows: DataFrame, pin: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .materialize import fresh
 
 
 def vault(values: DataFrame, salt: str, column: str = "email") -> DataFrame:
@@ -34,10 +35,11 @@ def pseudonymize_text(rows: DataFrame, salt: str, id_: str = "message_id", colum
 def unpseudonymize(rows: DataFrame, kept: DataFrame, id_: str = "message_id", column: str = "text") -> DataFrame:
     """Rows with pseudonyms that the vault knows replaced by their originals."""
     names = F.array_distinct(F.regexp_extract_all(F.col(column), F.lit("(user_[0-9a-f]{12})"), F.lit(1)))
-    found = rows.select(F.col(id_).alias("_id"), F.explode(names).alias("pseudonym")).distinct().join(kept, "pseudonym")
-    pairs = found.groupBy("_id").agg(F.collect_list(F.struct("pseudonym", "original")).alias("_pairs"))
-    both = rows.join(pairs, rows[id_] == F.col("_id"), "left")
-    back = F.aggregate(F.coalesce("_pairs", F.array().cast("array<struct<pseudonym: string, original: string>>")), F.col(column), lambda s, p: F.replace(s, p["pseudonym"], p["original"]))
+    of, known = fresh(rows, "_id"), fresh(rows, "_pairs")
+    found = rows.select(F.col(id_).alias(of), F.explode(names).alias("pseudonym")).distinct().join(kept, "pseudonym")
+    pairs = found.groupBy(of).agg(F.collect_list(F.struct("pseudonym", "original")).alias(known))
+    both = rows.join(pairs, rows[id_] == F.col(of), "left")
+    back = F.aggregate(F.coalesce(known, F.array().cast("array<struct<pseudonym: string, original: string>>")), F.col(column), lambda s, p: F.replace(s, p["pseudonym"], p["original"]))
     return both.withColumn(column, back).select(*rows.columns)
 
 

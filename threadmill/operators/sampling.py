@@ -1,21 +1,19 @@
 """Samples and schedules. Seeded shuffles are orders by hash (``functions.hashing.order_key``).
 
 Sequential allocations ("take until the sample is full") are prefix sums over groups, so only tables
-of one row for each group are ordered, never the rows themselves; rows are ranked inside their group.
+of one row for each group are ordered. Sums and ranks come from range partitions (``materialize.sum_before``,
+``materialize.ranked``), so that neither all groups nor one large group meet in a task.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
-from .materialize import shard_number
-
-
-def _before(size: Column, *order: str) -> Column:
-    """Sum of ``size`` over the groups before this one. The input has one row for each group."""
-    return F.coalesce(F.sum(size).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+from .materialize import ranked, shard_number, sum_before
 
 
 def _clip(wanted: Column, left: Column) -> Column:
@@ -26,17 +24,31 @@ def _ceil_div(a: Column, b: Column) -> Column:
     return F.floor((a + b - 1) / b).cast("long")
 
 
-def _ranked(rows: DataFrame, groups: list[str], seed: int | str, context: Column | str, id_: str, name: str) -> DataFrame:
-    by = Window.partitionBy(*groups).orderBy(hashing.order_key(seed, context, F.col(id_)), id_)
-    return rows.withColumn(name, F.row_number().over(by))
+def _ranked(rows: DataFrame, groups: list[str], seed: int | str, context: Column | str, id_: str, name: str, first: str | None = None) -> DataFrame:
+    """Rows with their rank in a hash order inside each group, those where ``first`` is false before others."""
+    keyed = rows.withColumn("_o", hashing.order_key(seed, context, F.col(id_)))
+    return ranked(keyed, groups, [*([first] if first else []), "_o", id_], name).drop("_o")
+
+
+def parse_ratio(ratio: str) -> tuple[int, int]:
+    """Replay and new parts of ``"replay:new"``; anything but two whole numbers, the second above 0, is an error."""
+    m = re.fullmatch(r"\s*(\d+)\s*:\s*(\d+)\s*", ratio)
+    if not m or not int(m[2]):
+        raise ValueError(f"not a replay:new ratio: {ratio!r}")
+    return int(m[1]), int(m[2])
 
 
 def bucket_caps_sample(rows: DataFrame, caps: dict[str, int], most: int, seed: int = 42, id_: str = "message_id") -> DataFrame:
-    """Rows of each length bucket up to its cap, then ``most`` of all; ``position`` is the final order."""
-    cap = F.create_map(*[F.lit(x) for kv in caps.items() for x in kv])
-    marked = rows.withColumn("bucket", text.length_bucket(F.col("length"))).where(F.col("bucket").isin(list(caps)))
-    kept = _ranked(marked, ["bucket"], seed, F.col("bucket"), id_, "_r").where(F.col("_r") <= cap[F.col("bucket")]).drop("_r")
-    final = kept.withColumn("_o", hashing.order_key(seed, "global", F.col(id_)))
+    """Rows of each length bucket up to its cap, then ``most`` of all; ``position`` is the final order.
+
+    Each bucket is ordered and limited on its own: tasks keep their best rows and send no others.
+    """
+    marked = rows.withColumn("bucket", text.length_bucket(F.col("length")))
+    kept = None
+    for bucket, cap in caps.items():
+        of = marked.where(F.col("bucket") == bucket).withColumn("_o", hashing.order_key(seed, bucket, F.col(id_))).orderBy("_o", id_).limit(cap).drop("_o")
+        kept = of if kept is None else kept.unionByName(of)
+    final = (marked.limit(0) if kept is None else kept).withColumn("_o", hashing.order_key(seed, "global", F.col(id_)))
     return shard_number(final.orderBy("_o", id_).limit(most), 1, ["_o", id_]).drop("_o", "shard")
 
 
@@ -57,14 +69,14 @@ def replay_allocation(rows: DataFrame, n: int, least: int) -> DataFrame:
     """
     groups = rows.groupBy("sender", "thread_id").agg(F.count("*").alias("size"))
     want = F.least(F.lit(least), F.col("size"))
-    one = groups.withColumn("take1", _clip(want, F.lit(n) - _before(want, "sender", "thread_id")))
+    one = sum_before(groups, want, ["sender", "thread_id"], "_before").withColumn("take1", _clip(want, F.lit(n) - F.col("_before"))).drop("_before")
     by_sender = one.groupBy("sender").agg(F.sum("size").alias("of_sender"))
     totals = one.agg(F.sum("size").alias("total"), F.sum("take1").alias("taken"))
     left = F.lit(n) - F.col("taken")
     shared = one.join(by_sender, "sender").join(F.broadcast(totals))
     quota = _ceil_div(left * F.col("of_sender"), F.col("total"))
     shared = shared.withColumn("want2", F.when(left > 0, F.least(_ceil_div(quota * F.col("size"), F.col("of_sender")), F.col("size"))).otherwise(F.lit(0)))
-    two = shared.withColumn("take2", _clip(F.col("want2"), left - _before(F.col("want2"), "sender", "thread_id")))
+    two = sum_before(shared, F.col("want2"), ["sender", "thread_id"], "_before").withColumn("take2", _clip(F.col("want2"), left - F.col("_before")))
     return two.select("sender", "thread_id", "size", "take1", "take2")
 
 
@@ -95,7 +107,7 @@ def interleave_schedule(new: DataFrame, replay: DataFrame, batch: int, new_parts
     # Replay rows in one order; chunk k takes the next run of it, wrapping round.
     numbered = shard_number(replay.select("id", hashing.order_key(f"{seed}:{epoch}", "replay", F.col("id")).alias("_o")), 1, ["_o", "id"]).select("id", (F.col("position") - 1).alias("at"))
     total = F.broadcast(numbered.agg(F.count("*").alias("total")))
-    starts = chunks.withColumn("start", _before(F.col("share"), "chunk")).join(total).where("share > 0 and total > 0")
+    starts = sum_before(chunks, F.col("share"), ["chunk"], "start").join(total).where("share > 0 and total > 0")
     wanted = starts.select("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("share") - 1)).alias("i"), "start", "total").select("chunk", F.pmod(F.col("start") + F.col("i"), F.col("total")).alias("at"), "i")
     drawn = wanted.join(numbered, "at").select("chunk", "id", F.lit("replay").alias("part"), F.col("i").alias("place"))
     fresh = new.select(F.floor(F.col("pos") / size).cast("long").alias("chunk"), "id", F.lit("new").alias("part"), F.pmod("pos", F.lit(size)).cast("long").alias("place"))
@@ -115,24 +127,22 @@ def stratified_downsample(rows: DataFrame, target: int, per_sender: int, per_thr
     ranked = _ranked(rows, ["sender"], seed, "sender", id_, "_rs")
     senders = rows.groupBy("sender").agg(F.count("*").alias("size"))
     want = F.least(F.lit(per_sender), F.col("size"))
-    senders = senders.withColumn("t1", _clip(want, F.lit(target) - _before(want, "sender")))
+    senders = sum_before(senders, want, ["sender"], "_before").withColumn("t1", _clip(want, F.lit(target) - F.col("_before")))
     one = ranked.join(senders.select("sender", "t1"), "sender").withColumn("s1", F.col("_rs") <= F.col("t1")).drop("t1", "_rs")
     taken = senders.agg(F.sum("t1")).first()[0]
-    by = Window.partitionBy("thread_id").orderBy("s1", hashing.order_key(seed, "thread", F.col(id_)), id_)
-    two = one.withColumn("_rt", F.row_number().over(by))
+    two = _ranked(one, ["thread_id"], seed, "thread", id_, "_rt", "s1")
     threads = one.groupBy("thread_id").agg(F.count("*").alias("size"), F.count_if(~F.col("s1")).alias("free"))
     want = F.least(F.lit(per_thread), F.col("free"))
-    threads = threads.withColumn("t2", _clip(want, F.lit(target - taken) - _before(want, "thread_id")))
+    threads = sum_before(threads, want, ["thread_id"], "_before").withColumn("t2", _clip(want, F.lit(target - taken) - F.col("_before")))
     two = two.join(threads.select("thread_id", "t2"), "thread_id").withColumn("s2", ~F.col("s1") & (F.col("_rt") <= F.col("t2"))).drop("t2", "_rt")
     taken += threads.agg(F.sum("t2")).first()[0]
     left = target - taken
     picked = F.col("s1") | F.col("s2")
-    by = Window.partitionBy("sender").orderBy(picked, hashing.order_key(seed, "fill", F.col(id_)), id_)
-    three = two.withColumn("_rf", F.row_number().over(by))
+    three = _ranked(two.withColumn("_picked", picked), ["sender"], seed, "fill", id_, "_rf", "_picked")
     avail = two.groupBy("sender").agg(F.count_if(~picked).alias("avail"))
     total = F.broadcast(avail.agg(F.sum("avail").alias("total")))
     avail = avail.where("avail > 0").join(total).withColumn("want", F.least(_ceil_div(F.col("avail") * left, F.col("total")), F.col("avail")))
-    before = _before(F.col("want"), "sender")
+    avail, before = sum_before(avail, F.col("want"), ["sender"], "_before"), F.col("_before")
     take = F.when(before < left, F.col("want")).otherwise(F.lit(0)) if mode == "reference" else _clip(F.col("want"), F.lit(left) - before)
     avail = avail.withColumn("t3", take if left > 0 else F.lit(0))
     three = three.join(avail.select("sender", "t3"), "sender", "left").withColumn("s3", ~picked & (F.col("_rf") <= F.coalesce("t3", F.lit(0))))

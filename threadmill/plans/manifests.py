@@ -104,6 +104,10 @@ def cohort_list(s, d):
     return m.cohort_list(v.ord(s, d))
 
 
+def ordered_cohorts(s, d):
+    return m.ordered_cohorts(v.ord(s, d))
+
+
 def thread_split_violations(s, d):
     rows = v.msg(s, d).select("message_id", "thread_id", hashing.split_of(hashing.hash_bucket_100(F.col("message_id"), 42)).alias("split"))
     return m.thread_split_violations(rows)
@@ -253,6 +257,7 @@ ORACLES = {
     "manifest_stats": f"with {v.ORD}, {OMAN} select split, count(*) as n_rows, count(distinct thread_id) as n_threads from oman group by 1",
     "thread_stats": f"with {v.MSG} select count(*) as threads, max(n) as largest from (select count(*) as n from msg group by thread_id)",
     "cohort_list": f"with {v.ORD} select cohort, count(*) as n from ord group by 1",
+    "ordered_cohorts": f"with {v.ORD} select cohort, row_number() over (order by cohort) as position from (select distinct cohort from ord)",
     "thread_split_violations": f"with {v.MSG} select thread_id, count(distinct {v.split_case(v.bucket_100('message_id'))}) as n_splits from msg group by 1 having count(distinct {v.split_case(v.bucket_100('message_id'))}) > 1",
     "split_overlap": f"with {v.MSG}, {MAN} select distinct message_id from man where thread_id < '2' and split <> 'test'",
     "manifest_diff": f"with {v.MSG}, {MAN} select * from man except all select message_id, thread_id, {v.split_case(v.bucket_100('thread_id', 7))} from msg",

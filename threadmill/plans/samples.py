@@ -27,24 +27,20 @@ def sender_totals(s, d):
     return x.sender_totals(v.doc(s, d))
 
 
-def _parity(s, d, odd: int):
-    return v.msg(s, d).where(F.col("thread_id").cast("int") % 2 == odd)
-
-
 def replay_min_phase(s, d):
-    return x.replay_allocation(_parity(s, d, 0), 150, 1).select("sender", "thread_id", "take1")
+    return x.replay_allocation(v.msg(s, d), 150, 1).select("sender", "thread_id", "take1")
 
 
 def replay_fill_phase(s, d):
-    return x.replay_allocation(_parity(s, d, 0), 150, 1).select("sender", "thread_id", "take2")
+    return x.replay_allocation(v.msg(s, d), 150, 1).select("sender", "thread_id", "take2")
 
 
 def replay_sample(s, d):
-    return x.replay_sample(_parity(s, d, 0), 150, 1).select("message_id", "phase")
+    return x.replay_sample(v.msg(s, d), 150, 1).select("message_id", "phase")
 
 
 def replay_sample_reference(s, d):
-    return x.replay_sample(_parity(s, d, 0), 150, 1, mode="reference").select("message_id", "phase")
+    return x.replay_sample(v.msg(s, d), 150, 1, mode="reference").select("message_id", "phase")
 
 
 def interleave_schedule(s, d):
@@ -100,8 +96,14 @@ def pool_stats(s, d):
 
 
 def _turns(s, d):
+    """All turns as documents, those of conversations whose id is divisible by 100 as queries, and dates."""
     c = v.msg(s, d)
-    return c.select(F.col("message_id").alias("doc_id"), "text"), c.select(F.col("message_id").alias("query_id"), text.construct_query(F.lit(""), F.col("text"), 1).alias("query")), c.select(F.col("message_id").alias("doc_id"), F.lpad(F.col("pos").cast("string"), 4, "0").alias("date"))
+    asked = c.where(F.col("thread_id").cast("long") % 100 == 0)
+    return c.select(F.col("message_id").alias("doc_id"), "text"), asked.select(F.col("message_id").alias("query_id"), text.construct_query(F.lit(""), F.col("text"), 1).alias("query")), c.select(F.col("message_id").alias("doc_id"), F.lpad(F.col("pos").cast("string"), 4, "0").alias("date"))
+
+
+def _gold(s, d):
+    return r.gold_within_threads(v.msg(s, d)).join(_turns(s, d)[1].select("query_id"), "query_id", "left_semi")
 
 
 def _found(s, d):
@@ -119,7 +121,7 @@ def bm25_document_frequency(s, d):
 
 def bm25_match(s, d):
     docs, queries, _ = _turns(s, d)
-    return r.bm25_match(docs, queries.where("query_id like '%-0'"))
+    return r.bm25_match(docs, queries)
 
 
 def bm25_topk(s, d):
@@ -151,38 +153,52 @@ def gold_set(s, d):
 
 
 def nonempty_gold(s, d):
-    return r.nonempty_gold(_turns(s, d)[1], r.gold_within_threads(v.msg(s, d))).select("query_id")
+    c = v.msg(s, d)
+    return r.nonempty_gold(c.select(F.col("message_id").alias("query_id")), r.gold_within_threads(c)).select("query_id")
 
 
 def thread_heuristic(s, d):
     c = v.msg(s, d)
-    return r.thread_heuristic(_found(s, d), r.gold_within_threads(c), c).select("query_id", "doc_id", "heuristic_hit")
+    return r.thread_heuristic(_found(s, d), _gold(s, d), c).select("query_id", "doc_id", "heuristic_hit")
 
 
 def rag_metrics(s, d):
-    return r.rag_metrics(_found(s, d), r.gold_within_threads(v.msg(s, d)))
+    return r.rag_metrics(_found(s, d), _gold(s, d))
 
 
 def retrieval_rank_metrics(s, d):
-    return r.retrieval_rank_metrics(_found(s, d), r.gold_within_threads(v.msg(s, d)), 5)
+    return r.retrieval_rank_metrics(_found(s, d), _gold(s, d), 5)
 
 
 def vector_topk(s, d):
     e = v.table(s, d, "embeddings")
-    return r.vector_topk(e, e.where("vec_id < 10"), 5)
+    return r.vector_topk(e, e.where("vec_id % 100 = 0"), 5)
 
 
 def doc_scatter_gather_topk(s, d):
     e = v.table(s, d, "embeddings")
-    return r.vector_topk(e.repartition(7, "vec_id"), e.where("vec_id % 50 = 0"), 3)
+    return r.vector_topk(e.repartition(7, "vec_id"), e.where("vec_id % 100 = 0"), 3)
 
 
 def doc_hybrid_rerank(s, d):
-    docs, queries, _ = _turns(s, d)
-    q = queries.where("query_id like '%-1'")
-    lexical = r.bm25_topk(docs, q, 20)
-    short = r.top_k(r.bm25_match(docs, q).withColumn("score", F.length("doc_id").cast("double")), 20)
-    return r.hybrid_rerank(lexical, short.select("query_id", "doc_id", "rank"))
+    """The first words of documents whose id is divisible by 100 against all texts, and their vectors against all vectors."""
+    docs, e = v.table(s, d, "documents").select("doc_id", "text"), v.table(s, d, "embeddings")
+    first = F.array_join(F.slice(F.split("text", " "), 1, 8), " ")
+    lexical = r.bm25_topk(docs, docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), first.alias("query")), 20)
+    return r.hybrid_rerank(lexical, r.vector_topk(e, e.where("vec_id % 100 = 0"), 20))
+
+
+def fts_retrieve(s, d):
+    """Retrieval by whole texts, themselves and later ones left out; words are not stemmed."""
+    docs, queries, dates = _turns(s, d)
+    whole = docs.join(queries.select(F.col("query_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+    return r.retrieve(docs, whole, dates, 5)
+
+
+def parse_ratio(s, d):
+    rows = v.table(s, d, "nation").agg(F.count("*").alias("n"))
+    replay, new = x.parse_ratio(" 1:4 ")
+    return rows.select((F.col("n") * 0 + replay).alias("replay"), (F.col("n") * 0 + new).alias("new"))
 
 
 def doc_recall_date_cut(s, d):
@@ -269,14 +285,13 @@ def doc_guardrail_fpr(s, d):
 QUERIES = {n: f for n, f in list(globals().items()) if callable(f) and getattr(f, "__module__", "") == __name__ and not n.startswith("_")}
 
 _K = v.order_key
-_EVEN = f"{v.MSG}, even as (select * from msg where cast(thread_id as integer) % 2 = 0)"
-_ALLOC = """gs as (select sender, thread_id, count(*) as size from even group by 1, 2),
+_ALLOC = """gs as (select sender, thread_id, count(*) as size from msg group by 1, 2),
     a1 as (select *, greatest(0, least(least(1, size), 150 - coalesce(sum(least(1, size)) over (order by sender, thread_id rows between unbounded preceding and 1 preceding), 0)))::bigint as take1 from gs),
     tt as (select sum(size) as total, 150 - sum(take1) as lft from a1),
     a2 as (select a1.*, lft, sum(size) over (partition by sender) as ofs, total from a1, tt),
     a3 as (select *, case when lft > 0 then least(((lft * ofs + total - 1) // total * size + ofs - 1) // ofs, size) else 0 end as want from a2),
     al as (select *, greatest(0, least(want, lft - coalesce(sum(want) over (order by sender, thread_id rows between unbounded preceding and 1 preceding), 0)))::bigint as take2 from a3)"""
-_R1 = f"rk as (select even.*, take1, take2, row_number() over (partition by sender, thread_id order by {_K('42:0', chr(39) + 'phase1' + chr(39), 'message_id')}, message_id) as r1, row_number() over (partition by sender, thread_id order by {_K('42:0', chr(39) + 'phase2' + chr(39), 'message_id')}, message_id) as r2 from even join al using (sender, thread_id))"
+_R1 = f"rk as (select msg.*, take1, take2, row_number() over (partition by sender, thread_id order by {_K('42:0', chr(39) + 'phase1' + chr(39), 'message_id')}, message_id) as r1, row_number() over (partition by sender, thread_id order by {_K('42:0', chr(39) + 'phase2' + chr(39), 'message_id')}, message_id) as r2 from msg join al using (sender, thread_id))"
 
 
 def _down(target: int, mode: str) -> str:
@@ -300,10 +315,13 @@ _BT = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}_]
 _LINE = r"regexp_replace(coalesce(list_filter(string_split(text, chr(10)), lambda x: not regexp_matches(x, '^[ \t\r\n\f\x0B]*[>|]') and not regexp_matches(x, '^On .* wrote:'))[1], ''), '^[ \t\r\n\f\x0B]+|[ \t\r\n\f\x0B]+$', '', 'g')"
 _BM = f"""{v.MSG}, tk as (select message_id as doc_id, {_BT.format('text')} as w from msg), st as (select count(*) as n_docs, avg(len(w)) as avgdl from tk),
     po as (select doc_id, len(w) as dl, unnest(w) as term from tk), tf as (select doc_id, dl, term, count(*) as tf from po group by all), df as (select term, count(*) as df from tf group by 1),
-    qt as (select message_id as query_id, unnest({_BT.format(_LINE)}) as term from msg), qf as (select query_id, term, count(*) as qf from qt group by all),
+    qt as (select message_id as query_id, unnest({_BT.format(_LINE)}) as term from msg where cast(thread_id as bigint) % 100 = 0), qf as (select query_id, term, count(*) as qf from qt group by all),
     ma as (select query_id, doc_id, round(cast(sum(cast(round(ln((n_docs - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl)) * qf * 1e12) as hugeint)) as double) / 1e12, 6) as score from qf join tf using (term) join df using (term), st group by 1, 2)"""
+#: The same over documents, asked for by their first words.
+_BMD = (_BM.split(", tk as", 1)[1]).replace("message_id as doc_id", "doc_id").replace("from msg), st", "from documents), st").replace("message_id as query_id", "doc_id as query_id").replace(_BT.format(_LINE), _BT.format("array_to_string(string_split(text, ' ')[1:8], ' ')")).replace("from msg where cast(thread_id as bigint) % 100 = 0", "from documents where doc_id % 100 = 0")
+_BMD = "tk as" + _BMD
 _FOUND = f"{_BM}, fd as (select query_id, doc_id, score from ma join msg q on q.message_id = query_id join msg dd on dd.message_id = doc_id where query_id <> doc_id and dd.pos <= q.pos), found as (select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from fd qualify rank <= 5)"
-_GOLD = "gold as (select a.message_id as query_id, b.message_id as doc_id from msg a join msg b using (thread_id) where a.message_id <> b.message_id)"
+_GOLD = "gold as (select a.message_id as query_id, b.message_id as doc_id from msg a join msg b using (thread_id) where a.message_id <> b.message_id and cast(a.thread_id as bigint) % 100 = 0)"
 _PQ = "pq as (select query_id, count(*) as g, count(f.doc_id) as h, min(f.rank) as best from gold left join found f using (query_id, doc_id) group by 1)"
 _EDGE = f"""{v.MSG}, rf as (select message_id as src, unnest([thread_id || '-' || (pos - 1), 'root-' || thread_id]) as ref from msg where pos > 0), dr as (select src, ref as dst from rf where ref in (select message_id from msg)),
     edge as (select * from dr union select dst, src from dr union select a.src, b.src from rf a join rf b using (ref) where a.src <> b.src)"""
@@ -315,10 +333,10 @@ ORACLES = {
         select message_id, bucket, row_number() over (order by {_K('42', "'global'", 'message_id')}, message_id) as position from c qualify position <= 150""",
     "bucket_counts": f"with {v.DOC} select case when length <= 512 then 'short' when length <= 2048 then 'medium' else 'long' end as bucket, count(*) as n from doc group by 1",
     "sender_totals": f"with {v.DOC} select sender, count(*) as n, (select count(*) from doc) as total from doc group by 1",
-    "replay_min_phase": f"with {_EVEN}, {_ALLOC} select sender, thread_id, take1 from al",
-    "replay_fill_phase": f"with {_EVEN}, {_ALLOC} select sender, thread_id, take2 from al",
-    "replay_sample": f"with {_EVEN}, {_ALLOC}, {_R1} select message_id, case when r1 <= take1 then 1 else 2 end as phase from rk where r1 <= take1 + take2",
-    "replay_sample_reference": f"with {_EVEN}, {_ALLOC}, {_R1} select message_id, 1 as phase from rk where r1 <= take1 union all select message_id, 2 from rk where r2 <= take2",
+    "replay_min_phase": f"with {v.MSG}, {_ALLOC} select sender, thread_id, take1 from al",
+    "replay_fill_phase": f"with {v.MSG}, {_ALLOC} select sender, thread_id, take2 from al",
+    "replay_sample": f"with {v.MSG}, {_ALLOC}, {_R1} select message_id, case when r1 <= take1 then 1 else 2 end as phase from rk where r1 <= take1 + take2",
+    "replay_sample_reference": f"with {v.MSG}, {_ALLOC}, {_R1} select message_id, 1 as phase from rk where r1 <= take1 union all select message_id, 2 from rk where r2 <= take2",
     "interleave_schedule": f"""with n as (select cast(doc_id as varchar) as id, doc_id // 2 as pos from documents where doc_id % 2 = 1), o as (select cast(doc_id as varchar) as id from documents where doc_id % 2 = 0),
         c as (select pos // 32 as chunk, (count(*) * 8 + 31) // 32 as share from n group by 1), st as (select chunk, share, coalesce(sum(share) over (order by chunk rows between unbounded preceding and 1 preceding), 0) as start from c),
         nu as (select id, row_number() over (order by {_K('42:0', "'replay'", 'id')}, id) - 1 as spot from o), w as (select chunk, i, (start + i) % (select count(*) from o) as spot from (select chunk, start, unnest(range(cast(share as bigint))) as i from st)),
@@ -336,7 +354,7 @@ ORACLES = {
     "pool_stats": f"with {v.EVT} select count(*) as n_rows, count(distinct sender) as senders, count(distinct thread_id) as threads from evt",
     "bm25_stats": f"with {_BM} select n_docs, round(avgdl, 6) as avgdl from st",
     "bm25_document_frequency": f"with {_BM} select term, df from df",
-    "bm25_match": f"with {_BM} select query_id, doc_id, score from ma where query_id like '%-0'",
+    "bm25_match": f"with {_BM} select query_id, doc_id, score from ma",
     "bm25_topk": f"with {_BM} select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from ma qualify rank <= 5",
     "no_self_no_future": f"with {_BM}, tp as (select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from ma qualify rank <= 5) select tp.* from tp join msg q on q.message_id = query_id join msg d on d.message_id = doc_id where query_id <> doc_id and d.pos <= q.pos",
     "bm25_retrieve": f"with {_FOUND} select * from found",
@@ -346,9 +364,11 @@ ORACLES = {
     "thread_heuristic": f"with {_FOUND} select query_id, doc_id, q.thread_id = d.thread_id as heuristic_hit from found join msg q on q.message_id = query_id join msg d on d.message_id = doc_id",
     "rag_metrics": f"with {_FOUND}, {_GOLD}, {_PQ}, a as (select count(*) as n, avg((h > 0)::integer) as p, avg(h / g) as r, stddev_pop(h / g) as sd, sum(h) / sum(g) as mi from pq) select n as sample_size, round(p, 6) as hit_at_k, round(1.96 * sqrt(p * (1 - p) / n), 6) as hit_ci, round(r, 6) as recall_macro, round(mi, 6) as recall_micro, round(1.96 * sd, 6) as recall_ci_ref, round(1.96 * sd / sqrt(n), 6) as recall_ci from a",
     "retrieval_rank_metrics": f"with {_FOUND}, {_GOLD}, {_PQ}, dc as (select query_id, sum(1 / log2(rank + 1)) as dcg from found join gold using (query_id, doc_id) group by 1) select round(avg(coalesce(1 / best, 0)), 6) as mrr, round(avg(h / 5), 6) as precision_at_k, round(avg(coalesce(dcg, 0) / list_sum(list_transform(range(1, least(g, 5) + 1), lambda i: 1 / log2(i + 1)))), 6) as ndcg_at_k from pq left join dc using (query_id)",
-    "vector_topk": f"with p as {_TOPV.format('q.vec_id < 10')} select *, cast(row_number() over (partition by query_id order by distance, doc_id) as integer) as rank from p qualify rank <= 5",
-    "doc_scatter_gather_topk": f"with p as {_TOPV.format('q.vec_id % 50 = 0')} select *, cast(row_number() over (partition by query_id order by distance, doc_id) as integer) as rank from p qualify rank <= 3",
-    "doc_hybrid_rerank": f"with {_BM}, l as (select query_id, doc_id, row_number() over (partition by query_id order by score desc, doc_id) as rank from ma where query_id like '%-1' qualify rank <= 20), s as (select query_id, doc_id, row_number() over (partition by query_id order by length(doc_id) desc, doc_id) as rank from ma where query_id like '%-1' qualify rank <= 20), f as (select query_id, doc_id, round(sum(1.0::double / (rank + 60)), 9) as score from (select * from l union all select * from s) group by 1, 2) select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from f qualify rank <= 5",
+    "vector_topk": f"with p as {_TOPV.format('q.vec_id % 100 = 0')} select *, cast(row_number() over (partition by query_id order by distance, doc_id) as integer) as rank from p qualify rank <= 5",
+    "doc_scatter_gather_topk": f"with p as {_TOPV.format('q.vec_id % 100 = 0')} select *, cast(row_number() over (partition by query_id order by distance, doc_id) as integer) as rank from p qualify rank <= 3",
+    "doc_hybrid_rerank": f"with {_BMD}, l as (select query_id, doc_id, row_number() over (partition by query_id order by score desc, doc_id) as rank from ma qualify rank <= 20), p as {_TOPV.format('q.vec_id % 100 = 0')}, s as (select query_id, doc_id, row_number() over (partition by query_id order by distance, doc_id) as rank from p qualify rank <= 20), f as (select query_id, doc_id, round(sum(1.0::double / (rank + 60)), 9) as score from (select * from l union all select * from s) group by 1, 2) select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from f qualify rank <= 5",
+    "fts_retrieve": f"with {_FOUND.replace(_LINE, 'text')} select * from found",
+    "parse_ratio": "select cast(1 as bigint) as replay, cast(4 as bigint) as new",
     "doc_recall_date_cut": f"with {v.ORD}, o as (select message_id, strftime(ts, '%Y-%m-%d') as date from ord) select * from o where message_id <> '1' and date <= '1997-01-01'",
     "running_loss": "select event_id as step, cast(sum(cast(value as decimal(30,9))) over (order by event_id) as double) / count(*) over (order by event_id) as mean_loss, event_id % 100 = 0 as logged from events",
     "perplexity": "select round(exp(sum(value / 100 * (event_id % 7 + 1)) / sum(event_id % 7 + 1)), 6) as perplexity from events",

@@ -87,7 +87,7 @@ def scan_rules(s, d):
 def scan_trainer_state(s, d):
     path = scratch(s, "state")
     log = F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("step"), F.col("value").alias("eval_loss"))))
-    v.table(s, d, "events").where("event_id <= 500").agg(F.to_json(F.struct(F.lit("checkpoint-7").alias("best_model_checkpoint"), log.alias("log_history"))).alias("value")).write.text(path)
+    v.table(s, d, "events").agg(F.to_json(F.struct(F.lit("checkpoint-7").alias("best_model_checkpoint"), log.alias("log_history"))).alias("value")).write.text(path)
     return files.scan_trainer_state(s, path)
 
 
@@ -245,7 +245,7 @@ ORACLES = {
     "scan_manifest": f"with {v.MSG} select message_id as id, {_SP} as split, thread_id from msg",
     "scan_tombstones": f"with {v.MSG} select 'message' as level, message_id as id from msg where pos = 0 union all select 'chunk', 'c1'",
     "scan_rules": "select 'backlog' as kpi, 'backlog.pct' as metric_path, 'gt' as comparison, 15.0::double as threshold, 'warning' as severity union all select 'low', 'split.train', 'lt', 75, 'critical'",
-    "scan_trainer_state": "select 'checkpoint-7' as best_model_checkpoint, event_id as step, value as eval_loss from events where event_id <= 500",
+    "scan_trainer_state": "select 'checkpoint-7' as best_model_checkpoint, event_id as step, value as eval_loss from events",
     "scan_eval_jsonl": f"with {v.MSG} select 'Subject: ' || sender || chr(10) || chr(10) || text as text from msg",
     "doc_array_to_jsonl": f"with {v.MSG} select message_id, pos from msg",
     "parse_headers": f"with {v.MSG} select message_id || '@x' as message_id, case when pos > 0 then thread_id || '-0@x' else 'subject-' || substr(sha256('topic of ' || thread_id), 1, 16) end as thread_id, '2024-03' as cohort_id, 'Re: Topic of ' || thread_id as subject from msg",

@@ -40,9 +40,11 @@ def append_manifest(new: DataFrame, path: str) -> None:
     new.write.mode("append").parquet(path)
 
 
-def write_ids(ids: DataFrame, path: str, as_json: bool = False) -> None:
-    """Ids one a line, or as one JSON array."""
+def write_ids(ids: DataFrame, path: str, as_json: bool = False, most: int = 1_000_000) -> None:
+    """Ids one a line, or as one JSON array of at most ``most`` ids (checked)."""
     if as_json:
+        if ids.limit(most + 1).count() > most:
+            raise ValueError(f"more than {most} ids; write lines")
         ids.agg(F.to_json(F.array_sort(F.collect_list("id"))).alias("value")).coalesce(1).write.mode("errorifexists").text(path)
     else:
         ids.select("id").write.mode("errorifexists").text(path)
