@@ -588,3 +588,29 @@ def test_every_operator_has_a_query():
     from threadmill.llm import queries
 
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_caches_hold_no_long_runs():
+    import tiktoken
+
+    long = "字" * 400 + " " + "a1b2" * 300 + " plain words " + "字" * 400
+    b = bpe.ByteBPE(BPE, P.PATTERN)
+    ref = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(BPE), special_tokens={})
+    packed = b"".join(i.to_bytes(4, "little") for i in ref.encode_ordinary(long))
+    assert b.encode(long) == packed and b.encode(long) == packed
+    assert max(map(len, b.cache)) <= bpe.CACHE_LENGTH
+    counter = tokencount.load(P.path("piece_bpe_32k.model"))
+    first = counter.text(long)
+    assert counter.text(long) == first and first[1] == sum(counter.walk(["▁" + w])["▁" + w] for w in long.split(" ") if w)
+    assert max(map(len, counter.counts)) <= tokencount.CACHE_LENGTH
+    score = toxicity.Scorer({"": 0.0, "pla-": 1.0})
+    assert score(long) == score(long) > 0.5 and max(map(len, score.known)) <= toxicity.CACHE_LENGTH
+
+
+def test_op4_learns_one_text_of_a_repeated_id(spark):
+    rows = toxic_texts(300, 5)
+    df = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, toxic int")
+    repeated = df.union(df.where("doc_id < 9")).union(df.where("doc_id < 9"))
+    assert toxicity.train(repeated, labels) == toxicity.train(df, labels)
+    assert 0 < len(toxicity.train(repeated, labels, rows=100))

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens kept in a worker's cache, at most (about 200 bytes each).
 CACHE_ENTRIES = 600_000
+#: Characters of a pre-token that is kept, at most: longer runs (no white space, base64) are encoded anew in each text.
+CACHE_LENGTH = 64
 
 
 def byte_table() -> list[str]:
@@ -102,7 +104,10 @@ class ByteBPE:
             return b"".join(map(self.cache.__getitem__, pieces))
         except KeyError:
             self.learn(dict.fromkeys(pieces))
-            return b"".join(map(self.cache.__getitem__, pieces))
+            ids = b"".join(map(self.cache.__getitem__, pieces))
+            for p in {p for p in pieces if len(p) > CACHE_LENGTH}:
+                del self.cache[p]
+            return ids
 
     def encode_with_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and, for each, the characters of ``text`` it has bytes of, as [start, end)."""

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens whose counts a worker remembers, at most.
 CACHE_WORDS = 800_000
+#: Characters of a pre-token that is remembered, at most: longer ones are counted anew in each text.
+CACHE_LENGTH = 64
 #: The mark before a word (a fixed value of the vocabulary files).
 MARK = "▁"
 
@@ -79,7 +81,10 @@ class TrieCounter:
             return len(words), sum(map(counts.__getitem__, words))
         except KeyError:
             self.learn(words)
-            return len(words), sum(map(self.counts.__getitem__, words))
+            total = sum(map(self.counts.__getitem__, words))
+            for w in {w for w in words if len(w) > CACHE_LENGTH}:
+                del self.counts[w]
+            return len(words), total
 
     def learn(self, words) -> None:
         """Count those of ``words`` that the cache lacks, in one walk."""

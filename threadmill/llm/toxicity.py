@@ -11,7 +11,7 @@ text is scored in one pass without a shuffle.
 
 Defined results: null and empty texts get the score of a text without any known feature; rows
 with a null id are scored and not held out; labels that are null are left out and of several labels
-of one id the highest counts; without labels of both classes every score is the labels' mean (0 if none).
+of one id the highest counts, of several texts of one id the least is learned from; without labels of both classes every score is the labels' mean (0 if none).
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ FEATURES = 5_000
 LEAST_TEXTS = 5
 #: Words whose features a worker remembers, at most.
 CACHE_WORDS = 200_000
+#: Characters of a word that is remembered, at most.
+CACHE_LENGTH = 64
 
 #: Identity terms that are swapped for one another, and neutral words that they are swapped for (fixed values).
 IDENTITY_TERMS = (
@@ -169,9 +171,11 @@ class Scorer:
         for w in set(words_of(text)):
             f = known.get(w)
             if f is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                f = known[w] = tuple(x for x in features_of(w) if x in self.weights)
+                f = tuple(x for x in features_of(w) if x in self.weights)
+                if len(w) <= CACHE_LENGTH:
+                    if len(known) >= CACHE_WORDS:
+                        known.clear()
+                    known[w] = f
             if f:
                 found.update(f)
         z = self.bias + sum(self.weights[f] for f in sorted(found))
@@ -192,9 +196,9 @@ def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     n = marked.count()
     share = F.pmod(F.xxhash64("_key", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
     if n > rows:
-        marked = marked.where(share < 0.95 * rows / n)
-    # At most ``rows`` ids: bounded, so the texts stay where they are.
-    sample = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(marked), "_key").select("_key", "_text", "_y")
+        marked = marked.where(share < 0.95 * rows / n).orderBy(F.xxhash64("_key", F.lit(4)), "_key").limit(rows)
+    # At most ``rows`` ids, one text of each: bounded, so the texts stay where they are.
+    sample = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(marked), "_key").groupBy("_key", "_y").agg(F.min("_text").alias("_text")).select("_key", "_text", "_y")
 
     def run(batches):
         held = sorted(((k, t or "", y) for b in batches for k, t, y in zip(*(b.column(i).to_pylist() for i in range(3)))))
