@@ -186,11 +186,28 @@ def test_wide_search_between_classes_leaves_out_no_pair(spark, monkeypatch):
     for often, crowd in (([], 40_000), ([3, 7, 50], 20), (list(range(60)), 6)):
         monkeypatch.setattr(simwide, "CROWD", crowd)
         prefix = [simwide.prefix_of(np.array(s, np.int64), np.array(often, np.int64), 0.8) for s in sets]
-        rows = spark.createDataFrame([(i, len(s), p.tolist(), bytearray(p.astype(np.uint16).tobytes())) for i, (s, p) in enumerate(zip(sets, prefix))], "node long, n int, prefix array<long>, low binary").repartition(3)
+        monkeypatch.setattr(simwide, "TALLY_BIT", 0)
+        tally = [simwide.tally_of(np.array(s, np.uint64)).view(np.int64).tolist() for s in sets]
+        rows = spark.createDataFrame([(i, len(s), t, p.tolist(), bytearray(p.astype(np.uint16).tobytes())) for i, (s, t, p) in enumerate(zip(sets, tally, prefix))], "node long, n int, tally array<long>, prefix array<long>, low binary").repartition(3)
         got = {tuple(r) for r in simwide.possible(simwide.remaining(rows, told, 0.8), rows, 0.8).collect()}
         assert want <= got
 
 
+def test_wide_tallies_never_count_more_than_sets_differ_in():
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    for size in (0, 1, 15, 16, 17, 200, 3_000, 50_000):
+        x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for gone, more in ((0, 0), (size // 20, 1), (size, size), (size // 2, 3 * size)):
+            y = np.unique(np.concatenate([x[gone:], rng.integers(0, 1 << 63, more, dtype=np.uint64)]))
+            low = np.stack([simwide.tally_of(x), simwide.tally_of(y)]).view(np.uint8)
+            counts = np.concatenate([low & 15, low >> 4], axis=1)
+            found = simwide._unlike(counts, np.array([0, 0]), np.array([0, 1]))
+            assert found[0] == 0 and found[1] <= len(np.setxor1d(x, y))
+            assert size != 200 or not gone or found[1] > 0
+
+
 def test_wide_pairs_at_the_similarity_are_all_found(spark):
     rng = random.Random(11)
     words = [f"w{i}" for i in range(2_000)]

@@ -19,7 +19,8 @@ more, by which most false pairs are known at once.
 These passes find most classes cheaply but may miss links, so a last pass leaves nothing to chance
 (``remaining``): sets of similarity t share a shingle in their prefixes, the first n - ceil(t n) + 1
 shingles in one order of all. All pairs of different classes that meet in such a shingle are decided exactly; those of
-one class need not be. Frequent shingles come last in the order, which keeps their meetings few. A shingle that
+one class need not be. Before a pair is made, the tallies of its sets (how many shingles have each value of six hash
+bits) tell how many shingles they cannot share; that leaves out no pair. Frequent shingles come last in the order, which keeps their meetings few. A shingle that
 more than ``CROWD`` sets meet in is dealt out in blocks, so that no task holds all its sets.
 
 One pass over the texts keeps fingerprints, prefixes and a digest of each set. Sets themselves are made again from
@@ -65,6 +66,10 @@ SLICE = 500
 CROWD = 40_000
 SPOTS = 1 << 20
 
+#: Words of a set's tally, sixteen counts of four bits each, and the first of the hash bits that name a count.
+TALLY = 4
+TALLY_BIT = 20
+
 #: Eight lanes of one byte for the eight bits of a byte, first bit in the first lane.
 _LANES = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -270,11 +275,25 @@ def prefix_of(h: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray
     return np.concatenate([h[~late], h[late]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
 
 
-def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def tally_of(h: np.ndarray) -> np.ndarray:
+    """How many shingles have each value of a few hash bits, modulo 16, as ``TALLY`` words."""
+    counts = np.bincount(((h >> np.uint64(TALLY_BIT)) & np.uint64(16 * TALLY - 1)).astype(np.int64), minlength=16 * TALLY)
+    c = (counts % 16).astype(np.uint8)
+    return (c[0::2] | c[1::2] << 4).view(np.uint64)
+
+
+def _unlike(tally: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Shingles that are in one of two sets only: so many at least, by their tallies (rows of counts)."""
+    d = (tally[i] - tally[j]) & np.uint8(15)
+    return np.minimum(d, 16 - d).sum(axis=1, dtype=np.int64)
+
+
+def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, side: np.ndarray, tally: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of rows of equal ``h`` and different classes that may be so similar.
 
     ``at``: the shingle's place in a row's set of ``n``. A pair is left out if the places from there on are too
-    few; at the first common shingle they are not, if it is so similar. ``h`` is ascending. ``side``: rows of
+    few; at the first common shingle they are not, if it is so similar. It is left out too if its tallies (rows of
+    words) differ by more than the shingles that sets so similar need not share. ``h`` is ascending. ``side``: rows of
     one side (from 1 on) are not compared with one another; 0 is none.
     """
     group = np.cumsum(np.append(0, h[1:] != h[:-1]))
@@ -289,6 +308,8 @@ def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, sid
     start = np.flatnonzero(np.append(True, g[1:] != g[:-1]))[g]
     others = np.bincount(g, c != of_last).astype(np.int64)[g]
     index = np.flatnonzero(others > 0)
+    low = tally.view(np.uint8).reshape(len(tally), -1)
+    counts = np.concatenate([low & 15, low >> 4], axis=1)
     out = [np.zeros((0, 2), np.int64)]
     step = 0
     while True:  # the member at this place of its group with all later ones
@@ -298,6 +319,8 @@ def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, sid
         i, j = by[start[index] + step], by[index]
         need = similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9
         ok = (known[i] != known[j]) & ((side[i] == 0) | (side[i] != side[j])) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
+        i, j, need = i[ok], j[ok], need[ok]
+        ok = n[i] + n[j] - _unlike(counts, i, j) >= 2 * need
         out.append(np.stack([i[ok], j[ok]], 1))
         step += 1
     pair = np.concatenate(out)
@@ -322,9 +345,10 @@ def _crowds(sent: DataFrame) -> DataFrame | None:
 def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of nodes of different classes: all that may be this similar.
 
-    ``prefix``: ``node``, size ``n``, ``prefix``; ``known``: ``node``, ``known``.
+    ``prefix``: ``node``, size ``n``, ``tally``, ``prefix``; ``known``: ``node``, ``known``.
     """
-    sent = prefix.join(known, "node").select("node", "n", "known", F.posexplode("prefix").alias("at", "h"))
+    tallies = [F.col("tally")[i].alias(f"y{i}") for i in range(TALLY)]
+    sent = prefix.join(known, "node").select("node", "n", "known", *tallies, F.posexplode("prefix").alias("at", "h"))
     crowds = _crowds(sent.select("h"))
     none = F.lit(0).cast("long")
     if crowds is None:
@@ -339,9 +363,10 @@ def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFra
         sent = sent.join(crowds, "h", "left_anti").select(*sent.columns, none.alias("part"), none.alias("side")).unionByName(crowded)
 
     def run(batches):
-        for held in _gathered(batches, 4, 5):
-            node, n, known, at, h, part, side = (np.concatenate(x) for x in zip(*held))
-            i, j = _across(np.cumsum(np.append(0, (np.diff(h) != 0) | (np.diff(part) != 0))), at.astype(np.int64), n.astype(np.int64), known, side, similarity)
+        for held in _gathered(batches, TALLY + 4, TALLY + 5):
+            node, n, known, *tally, at, h, part, side = (np.concatenate(x) for x in zip(*held))
+            tally = np.stack(tally, 1)
+            i, j = _across(np.cumsum(np.append(0, (np.diff(h) != 0) | (np.diff(part) != 0))), at.astype(np.int64), n.astype(np.int64), known, side, tally, similarity)
             pair = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
@@ -425,15 +450,16 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
             wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
             n = len(wide)
             parts = parts_of(wide) if n else np.zeros((0, TABLES), np.uint64)
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (wide, parts)]
+            tally = np.array([tally_of(h) for h in sets], np.uint64).reshape(-1, TALLY)
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (wide, parts, tally)]
             prefix = [prefix_of(h.view(np.int64), often, similarity) for h in sets]
             ends = np.cumsum([0, *map(len, prefix)])
             lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix]))))
             low = pa.array([h.astype(np.uint16).tobytes() for h in prefix], pa.binary())
             digest = pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], digest, pa.array(list(map(len, sets)), pa.int32()), *lists, low], ["_row", "_key", "_odd", "digest", "n", "wide", "parts", "prefix", "low"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], digest, pa.array(list(map(len, sets)), pa.int32()), *lists, low], ["_row", "_key", "_odd", "digest", "n", "wide", "parts", "tally", "prefix", "low"])
 
-    kinds = "_row long, _key long, _odd long, digest binary, n int, wide array<long>, parts array<long>, prefix array<long>, low binary"
+    kinds = "_row long, _key long, _odd long, digest binary, n int, wide array<long>, parts array<long>, tally array<long>, prefix array<long>, low binary"
     rows = written(source.mapInArrow(prints, kinds), "wide-fingerprints")
     # Equal sets are one node, named by a row of it.
     of_digest = written(rows.groupBy("digest").agg(F.min("_row").alias("node")), "digests")
@@ -452,7 +478,7 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     # The search so far may have missed pairs: what is left between classes is searched exactly.
     found = written(components(later.unionByName(_tree(early))), "found-classes")
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
-    prefix = rows.select(F.col("_row").alias("node"), "n", "prefix")
+    prefix = rows.select(F.col("_row").alias("node"), "n", "tally", "prefix")
     short = rows.select(F.col("_row").alias("node"), "n", "low")
     rest = similar(possible(remaining(prefix, told, similarity), short, similarity))
     classes = components(rest.unionByName(_tree(found)))
