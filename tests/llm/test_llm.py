@@ -193,6 +193,30 @@ def test_wide_search_between_classes_leaves_out_no_pair(spark, monkeypatch):
         assert want <= got
 
 
+def test_wide_search_hands_on_a_pair_once_however_many_shingles_it_shares(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(13)
+    monkeypatch.setattr(simwide, "HELD", 50)
+    base = sorted(rng.sample(range(1, 100_000), 300))
+    sets = [np.array(sorted({*rng.sample(base, 280), *rng.sample(range(100_000, 200_000), 10)}), np.int64) for _ in range(40)]
+    prefix = [simwide.prefix_of(s, np.zeros(0, np.int64), 0.8) for s in sets]
+    rows = sorted((int(h), at, i) for i, p in enumerate(prefix) for at, h in enumerate(p))
+    n = np.array([len(s) for s in sets])
+    tally = np.stack([simwide.tally_of(s.view(np.uint64)) for s in sets])
+    first = np.stack([p[: simwide.FIRST] for p in prefix])
+    made = []
+    for _, group in itertools.groupby(rows, lambda r: r[0]):  # each shingle in a task of its own
+        _, at, i = (np.array(x) for x in zip(*group))
+        none = np.zeros(len(i), np.int64)
+        for a, b in simwide._across(none, at, n[i], i, none, tally[i], first[i], 0.8):
+            made += [tuple(sorted(x)) for x in zip(i[a].tolist(), i[b].tolist())]
+    want = {(a, b) for a, b in itertools.combinations(range(40), 2) if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))}
+    shared = sum(len(np.intersect1d(prefix[a], prefix[b])) for a, b in {*made})
+    assert len(want) > 10 and want <= {*made} and shared > 20 * len({*made})
+    assert len(made) <= 1.1 * len({*made})
+
+
 def test_wide_tallies_never_count_more_than_sets_differ_in():
     import numpy as np
 

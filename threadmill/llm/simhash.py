@@ -235,12 +235,15 @@ def _bundles(bucket: np.ndarray, weight: np.ndarray):
         at, done = int(ends[i]), int(total[i])
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, part_files: int | None = None) -> DataFrame:
     """``node`` and its class's least node as ``component``, for nodes of ``edges`` (a, b: longs).
 
     Alternates large-star and small-star steps until no link changes. Each round is written to
-    the shared folder, so a lost executor repeats one round at most.
+    the shared folder, so a lost executor repeats one round at most, in ``part_files`` at most if given.
     """
+    def few(e: DataFrame) -> DataFrame:
+        return e if part_files is None else e.coalesce(part_files)
+
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e if not large else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # a: centre. Small star: e has a > b. Large star: both directions.
@@ -251,12 +254,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         kept = joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         return kept.unionByName(least.where(F.col("a") != F.col("m")).select("a", F.col("m").alias("b"))).distinct()
 
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().transform(few), "links")
     for _ in range(rounds):
         n, children = e.agg(F.count("*"), F.count_distinct("a")).first()
         if n == children and not _chained(e):
             break
-        before, e = e, written(star(star(e, True), False), "links")
+        before, e = e, written(few(star(star(e, True), False)), "links")
         discard(before)
     else:
         raise RuntimeError(f"components not found in {rounds} rounds")

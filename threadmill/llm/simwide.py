@@ -20,7 +20,8 @@ These passes find most classes cheaply but may miss links, so a last pass leaves
 (``remaining``): sets of similarity t share a shingle in their prefixes, the first n - ceil(t n) + 1
 shingles in one order of all. All pairs of different classes that meet in such a shingle are decided exactly; those of
 one class need not be. Before a pair is made, the tallies of its sets (how many shingles have each value of six hash
-bits) tell how many shingles they cannot share; that leaves out no pair. Frequent shingles come last in the order, which keeps their meetings few. A shingle that
+bits) tell how many shingles they cannot share; that leaves out no pair. Nor does it that a pair is made at its first
+common shingle only, as far as the first ``FIRST`` of both sets tell: sets much alike have one of those in common. Frequent shingles come last in the order, which keeps their meetings few. A shingle that
 more than ``CROWD`` sets meet in is dealt out in blocks, so that no task holds all its sets.
 
 One pass over the texts keeps fingerprints, prefixes and a digest of each set. Sets themselves are made again from
@@ -35,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +67,16 @@ SLICE = 500
 #: Sets that meet in one shingle in one task, at most (two blocks of half as many), and hash values by which crowds are sought.
 CROWD = 40_000
 SPOTS = 1 << 20
+#: Rows of a part file of tables that hold a row for each text at most, and their part files at least.
+PART_ROWS = 10_000
+PART_FILES = 24
 
 #: Words of a set's tally, sixteen counts of four bits each, and the first of the hash bits that name a count.
 TALLY = 4
 TALLY_BIT = 20
+#: First shingles of a set that travel with each of its prefix, and pairs that a task holds before it hands them on.
+FIRST = 4
+HELD = 500_000
 
 #: Eight lanes of one byte for the eight bits of a byte, first bit in the first lane.
 _LANES = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
@@ -288,12 +296,22 @@ def _unlike(tally: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.minimum(d, 16 - d).sum(axis=1, dtype=np.int64)
 
 
-def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, side: np.ndarray, tally: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows of equal ``h`` and different classes that may be so similar.
+def _met(first: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether two rows share one of their ``first`` shingles that comes before their places ``at``."""
+    out = np.zeros(len(i), bool)
+    for x in range(first.shape[1]):
+        for y in range(first.shape[1]):
+            out |= (first[i, x] == first[j, y]) & (at[i] > x) & (at[j] > y)
+    return out
+
+
+def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, side: np.ndarray, tally: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of equal ``h`` and different classes that may be so similar, about ``HELD`` at a time.
 
     ``at``: the shingle's place in a row's set of ``n``. A pair is left out if the places from there on are too
     few; at the first common shingle they are not, if it is so similar. It is left out too if its tallies (rows of
-    words) differ by more than the shingles that sets so similar need not share. ``h`` is ascending. ``side``: rows of
+    words) differ by more than the shingles that sets so similar need not share, or if its sets meet at an earlier
+    shingle, among the ``first`` of both. ``h`` is ascending. ``side``: rows of
     one side (from 1 on) are not compared with one another; 0 is none.
     """
     group = np.cumsum(np.append(0, h[1:] != h[:-1]))
@@ -310,8 +328,7 @@ def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, sid
     index = np.flatnonzero(others > 0)
     low = tally.view(np.uint8).reshape(len(tally), -1)
     counts = np.concatenate([low & 15, low >> 4], axis=1)
-    out = [np.zeros((0, 2), np.int64)]
-    step = 0
+    out, size, step = [np.zeros((0, 2), np.int64)], 0, 0
     while True:  # the member at this place of its group with all later ones
         index = index[(index - start[index] > step) & (others[index] > step)]
         if not len(index):
@@ -321,10 +338,16 @@ def _across(h: np.ndarray, at: np.ndarray, n: np.ndarray, known: np.ndarray, sid
         ok = (known[i] != known[j]) & ((side[i] == 0) | (side[i] != side[j])) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
         i, j, need = i[ok], j[ok], need[ok]
         ok = n[i] + n[j] - _unlike(counts, i, j) >= 2 * need
+        i, j = i[ok], j[ok]
+        ok = ~_met(first, at, i, j)
         out.append(np.stack([i[ok], j[ok]], 1))
+        size += len(out[-1])
         step += 1
-    pair = np.concatenate(out)
-    return pair[:, 0], pair[:, 1]
+        if size >= HELD:
+            yield tuple(np.concatenate(out).T)
+            out, size = [], 0
+    if out:
+        yield tuple(np.concatenate(out).T)
 
 
 def _crowds(sent: DataFrame) -> DataFrame | None:
@@ -348,7 +371,10 @@ def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFra
     ``prefix``: ``node``, size ``n``, ``tally``, ``prefix``; ``known``: ``node``, ``known``.
     """
     tallies = [F.col("tally")[i].alias(f"y{i}") for i in range(TALLY)]
-    sent = prefix.join(known, "node").select("node", "n", "known", *tallies, F.posexplode("prefix").alias("at", "h"))
+    # Places beyond a prefix are never looked at.
+    firsts = [F.coalesce(F.get("prefix", F.lit(i)), F.lit(0)).alias(f"z{i}") for i in range(FIRST)]
+    sent = prefix.select("node", "n", *tallies, *firsts, "prefix").join(known, "node")
+    sent = sent.select("node", "n", "known", *(f"y{i}" for i in range(TALLY)), *(f"z{i}" for i in range(FIRST)), F.posexplode("prefix").alias("at", "h"))
     crowds = _crowds(sent.select("h"))
     none = F.lit(0).cast("long")
     if crowds is None:
@@ -363,12 +389,13 @@ def remaining(prefix: DataFrame, known: DataFrame, similarity: float) -> DataFra
         sent = sent.join(crowds, "h", "left_anti").select(*sent.columns, none.alias("part"), none.alias("side")).unionByName(crowded)
 
     def run(batches):
-        for held in _gathered(batches, TALLY + 4, TALLY + 5):
-            node, n, known, *tally, at, h, part, side = (np.concatenate(x) for x in zip(*held))
-            tally = np.stack(tally, 1)
-            i, j = _across(np.cumsum(np.append(0, (np.diff(h) != 0) | (np.diff(part) != 0))), at.astype(np.int64), n.astype(np.int64), known, side, tally, similarity)
-            pair = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+        for held in _gathered(batches, TALLY + FIRST + 4, TALLY + FIRST + 5):
+            node, n, known, *words, at, h, part, side = (np.concatenate(x) for x in zip(*held))
+            tally, first = np.stack(words[:TALLY], 1), np.stack(words[TALLY:], 1)
+            group = np.cumsum(np.append(0, (np.diff(h) != 0) | (np.diff(part) != 0)))
+            for i, j in _across(group, at.astype(np.int64), n.astype(np.int64), known, side, tally, first, similarity):
+                pair = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
     return sent.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(run, "a long, b long").distinct()
 
@@ -434,6 +461,11 @@ def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, s
     return out
 
 
+def _part_files(rows: int) -> int:
+    """Part files of a table of at most so many rows. On a local file system each costs some six processes."""
+    return max(PART_FILES, math.ceil(rows / PART_ROWS))
+
+
 def _tree(classes: DataFrame) -> DataFrame:
     """Classes as pairs."""
     return classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -442,7 +474,9 @@ def _tree(classes: DataFrame) -> DataFrame:
 def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs, together distinct), ``_text``; a written table."""
     texts, source = source, source.select(F.monotonically_increasing_id().alias("_row"), "_key", "_odd", "_text")
-    often = frequent(source, source.count(), words)
+    total = source.count()
+    few = _part_files(total)
+    often = frequent(source, total, words)
 
     def prints(batches):
         for b in _sliced(batches):
@@ -462,9 +496,9 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     kinds = "_row long, _key long, _odd long, digest binary, n int, wide array<long>, parts array<long>, tally array<long>, prefix array<long>, low binary"
     rows = written(source.mapInArrow(prints, kinds), "wide-fingerprints")
     # Equal sets are one node, named by a row of it.
-    of_digest = written(rows.groupBy("digest").agg(F.min("_row").alias("node")), "digests")
+    of_digest = written(rows.groupBy("digest").agg(F.min("_row").alias("node")).coalesce(few), "digests")
     named = of_digest.select("node")
-    nodes = written(rows.select(F.col("_row").alias("node"), "wide", "parts").join(realigned(named, "node"), "node"), "nodes")
+    nodes = written(rows.select(F.col("_row").alias("node"), "wide", "parts").join(realigned(named, "node"), "node").coalesce(few), "nodes")
     count = nodes.count()
     most = most_bits(similarity, 192)
 
@@ -472,18 +506,18 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
         return _checked(pairs, rows, texts, words, similarity)
 
     # One table joins most of a dense group; then all tables, for pairs of different classes alone.
-    early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1))), "early-classes")
+    early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1)), part_files=few).coalesce(few), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
     later = similar(candidates(told, count, most))
     # The search so far may have missed pairs: what is left between classes is searched exactly.
-    found = written(components(later.unionByName(_tree(early))), "found-classes")
+    found = written(components(later.unionByName(_tree(early)), part_files=few).coalesce(few), "found-classes")
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
     prefix = rows.select(F.col("_row").alias("node"), "n", "tally", "prefix")
     short = rows.select(F.col("_row").alias("node"), "n", "low")
     rest = similar(possible(remaining(prefix, told, similarity), short, similarity))
-    classes = components(rest.unionByName(_tree(found)))
+    classes = components(rest.unionByName(_tree(found)), part_files=few)
     of_print = of_digest.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
-    out = written(rows.select("_key", "_odd", "digest").join(realigned(of_print, "digest"), "digest").select("_key", "_odd", "class"), "classes")
+    out = written(rows.select("_key", "_odd", "digest").join(realigned(of_print, "digest"), "digest").select("_key", "_odd", "class").coalesce(few), "classes")
     discard(rows, of_digest, nodes, early, later, found, rest)
     return out
 
