@@ -569,6 +569,21 @@ def test_op10_main_text(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_op10_host_array_judges_blocks_of_articles_too(spark):
+    rng = random.Random(14)
+    part = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n)).strip("  ").replace("  ", "x").replace("  ", "y")
+    line, quote, own = part(150), part(160), [part(200) for _ in range(4)]
+    page = lambda i, *more: f"<nav>{quote}</nav><article><p>{own[i]}</p>{''.join(f'<p>{x}</p>' for x in more)}</article>"
+    rows = [(0, "http://h/0", page(0, line)), (1, "http://h/1", page(1, line)), (2, "http://h/2", page(2)), (3, "http://h/copy", page(2)), (4, "http://other/", page(3, line)), (5, "http://h/5", f"<div>{quote}</div><p>{own[3]}</p><p>{line}</p>")]
+    got = {r.page_id: r for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in (0, 1):
+        assert got[i].text == f"{own[i]}\n{line}" and got[i].n_shared == len(line)
+    assert got[2].text == got[3].text == own[2] and got[2].n_shared == got[3].n_shared == 0
+    assert got[4].text == f"{own[3]}\n{line}" and got[4].n_shared == 0
+    # What an article quotes is no boilerplate of a page without one; what stands in another page's menu is.
+    assert got[5].text == f"{own[3]}\n{line}" and got[5].n_shared == 0
+
+
 def test_op10_marks_are_hints():
     text = lambda page: "\n".join(html.blocks_of(page)[0])
     assert text('<main class="main with-sidebar"><p>a</main>') == "a"
