@@ -625,6 +625,29 @@ def test_op10_host_array_finds_what_two_pages_share(spark):
     assert runs and 31 not in runs
 
 
+def test_op10_shuffles_few_texts(spark):
+    rng = random.Random(15)
+    part = lambda n: "".join(rng.choices("abcdefgh ijklmnop", k=n)).replace("  ", "xy").strip() + "z"
+    line, own = part(150), [part(20_000) for _ in range(200)]
+    rows = [(i, "http://h/", f"<nav>Home</nav><article><p>{t}</p>{f'<p>{line}</p>' * (i < 3)}</article>") for i, t in enumerate(own)]
+    written = lambda: spark._jsc.sc().statusStore().executorList(True).head().totalShuffleWrite()
+    pages, before = spark.createDataFrame(rows, "page_id long, url string, html string"), written()
+    got = {r.page_id: r for r in html.main_text(pages).collect()}
+    assert all(got[i].text == t + f"\n{line}" * (i < 3) and got[i].n_shared == len(line) * (i < 3) for i, t in enumerate(own))
+    assert written() - before < 0.8 * sum(map(len, own))
+
+
+@pytest.mark.parametrize("anchor, rescan", [(64, True), (32, False), (32, True)])
+def test_op10_arrays_do_not_depend_on_anchors(spark, anchor, rescan):
+    rng = random.Random(16)
+    part = lambda n: "".join(rng.choices("abcdé", k=n))
+    menus = [part(140) for _ in range(3)]
+    rows = [(i, f"h{i % 2}", part(60) + rng.choice(menus)[rng.randint(0, 60) :] + part(80) + rng.choice(menus) + part(30)) for i in range(30)] + [(40, "h0", None), (41, "h1", "")]
+    df = spark.createDataFrame(rows, "doc_id long, host string, text string")
+    runs = lambda **more: {r._k: suffix.merged([tuple(x) for x in r.runs]) for r in suffix.repeated_runs(df, 96, group="host", across=True, **more)[1].collect()}
+    assert runs(anchor=anchor, rescan=rescan) == runs() != {}
+
+
 def test_pipeline_stages_take_effect(spark, sf):
     import corpus_pipeline
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import discard, realigned, written
+from .storage import discard, realigned, shuffles_deleted, written
 
 #: Bytes of an anchor.
 ANCHOR = 64
@@ -268,12 +268,28 @@ def _key_columns(df: DataFrame, text: str, key: str):
     return k.alias("_k"), F.xxhash64(F.col(key).isNull(), F.col(text)).alias("_h")
 
 
+def _word_of(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(MAP_WORDS - 1))
+
+
+def bit_words(hashes: DataFrame) -> DataFrame:
+    """Words ``w`` of a map of ``64 * MAP_WORDS`` bits, ``b``, in which those of the hashes ``h`` are set."""
+    return hashes.groupBy(_word_of(F.col("h")).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b"))
+
+
+def parted(df: DataFrame, h: Column, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose hash ``h`` has its bit set in a map (``bit_words``), and the others; no row is shuffled for it."""
+    told = df.join(F.broadcast(words), _word_of(h) == F.col("w"), "left")
+    is_set = F.coalesce(F.getbit("b", h.bitwiseAND(F.lit(63))), F.lit(0)) == 1
+    return told.where(is_set).select(df.columns), told.where(~is_set).select(df.columns)
+
+
 def _bit_map(hashes: DataFrame):
     """A broadcast map of ``64 * MAP_WORDS`` bits in which those of the hashes ``h`` are set."""
-    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(MAP_WORDS - 1))
-    words = hashes.groupBy(word.alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b"))
     bits = np.zeros(MAP_WORDS, np.uint64)
-    for r in words.toArrow().to_batches():
+    with shuffles_deleted(hashes.sparkSession):
+        words = bit_words(hashes).toArrow()
+    for r in words.to_batches():
         bits[r.column(0).to_numpy()] = r.column(1).to_numpy().view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
@@ -283,15 +299,19 @@ def _in_map(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[((h >> np.uint64(6)) & np.uint64(MAP_WORDS - 1)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _anchor_rows(texts: DataFrame, length: int, known=None) -> DataFrame:
-    """A row for each anchor: ``h``, and if ``known`` (a bit map) has it: ``seg``, ``_k``, ``_h``, ``at`` (packed)."""
+def _anchor_rows(texts: DataFrame, length: int, known=None, anchor: int = ANCHOR, asked=None) -> DataFrame:
+    """A row for each anchor: ``h``, and if ``known`` (a bit map) has it: ``seg``, ``_k``, ``_h``, ``at`` (packed).
+
+    ``asked``: a bit map of ``_spot_of`` rows; only those, with the bytes of their segments (``data``).
+    """
     only_hash = known is None
-    names = ["h"] if only_hash else ["h", "seg", "_k", "_h", "at"]
+    names = ["h"] if only_hash else ["h", "seg", "_k", "_h", "at"] + ["data"] * (asked is not None)
 
     def work(rows):
-        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        whole = b"".join(r[3] for r in rows)
+        data = np.frombuffer(whole, np.uint8)
         ends = np.cumsum([len(r[3]) for r in rows])
-        text, h, seg, place, left, right = anchors(data, ends, length)
+        text, h, seg, place, left, right = anchors(data, ends, length, anchor)
         g = np.array([r[2] for r in rows], np.int64)
         if len(h):
             h = _mix(h.view(np.uint64) ^ g.view(np.uint64)[text]).view(np.int64) if g.any() else h
@@ -303,7 +323,13 @@ def _anchor_rows(texts: DataFrame, length: int, known=None) -> DataFrame:
             keep = _in_map(known.value, h)
             text, h, seg, place, left, right = (x[keep] for x in (text, h, seg, place, left, right))
         at = (place << 24) | (left << 12) | right
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, seg, k[text], hh[text], at)] if len(h) else [pa.array([], pa.int64())] * 5, names)
+        cols = [h, seg, k[text], hh[text], at] if len(h) else [np.zeros(0, np.int64)] * 5
+        if asked is None:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
+        keep = np.flatnonzero(_in_map(asked.value, cols[1] ^ cols[3] ^ (cols[4] >> 24)))
+        begin = np.array([r[4] for r in rows], np.int64)[text[keep]] + place[keep]
+        data = [whole[a:b] for a, b in zip((begin - left[keep]).tolist(), (begin + right[keep]).tolist())]
+        return pa.RecordBatch.from_arrays([*(pa.array(x[keep]) for x in cols), pa.array(data, pa.binary())], names)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -311,7 +337,7 @@ def _anchor_rows(texts: DataFrame, length: int, known=None) -> DataFrame:
             for k, h, g, t in zip(*(b.column(i).to_pylist() for i in range(4))):
                 t = (t or "").encode("utf-8", "surrogatepass")
                 if len(t) >= length:
-                    rows.append((k, h, g, t))
+                    rows.append((k, h, g, t, size))
                     size += len(t)
                     if size >= CHUNK:
                         yield work(rows)
@@ -319,7 +345,7 @@ def _anchor_rows(texts: DataFrame, length: int, known=None) -> DataFrame:
             if rows:
                 yield work(rows)
 
-    return texts.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return texts.mapInArrow(run, ", ".join(f"{c} {'binary' if c == 'data' else 'long'}" for c in names))
 
 
 def _left(c="at"):
@@ -350,6 +376,19 @@ def _segments(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "h long, seg long, n long, lo long, hi long, left long, data binary")
 
 
+def _spot_of(h: str, at: str) -> Column:
+    """What names a segment's copy in a bit map, with its ``seg``."""
+    return F.col("seg").bitwiseXOR(F.col(h)).bitwiseXOR(F.shiftright(at, 24))
+
+
+def _read_again(texts: DataFrame, wanted: DataFrame, length: int, known, anchor: int) -> DataFrame:
+    """As ``_segments``, by another pass over all texts, which shuffles segments instead of texts."""
+    asked = _bit_map(wanted.select(_spot_of("_h", "at").alias("h")))
+    found = _anchor_rows(texts, length, known, anchor, asked)
+    keys = ["h", "seg", "_k", "_h", "at"]
+    return found.join(wanted, keys).select("h", "seg", "n", "lo", "hi", _left().alias("left"), "data")
+
+
 def _sorted_runs(segments: DataFrame, length: int, across: bool) -> DataFrame:
     """``h``, ``seg`` and covered ``runs`` in the segment, from suffix arrays of whole anchors."""
     names = ["h", "seg", "runs"]
@@ -422,9 +461,9 @@ def _halves(segments: DataFrame, length: int) -> DataFrame:
     return segments.select(*cols).mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", data binary")
 
 
-def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int) -> DataFrame:
+def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int, anchor: int = ANCHOR) -> DataFrame:
     """As ``_sorted_runs``, for anchors with more than ``many`` segments: their anchors grow until none has so many."""
-    parts, left = [], segments.select("*", F.lit(ANCHOR).cast("long").alias("wide"), F.col("h").alias("of_h"), F.col("seg").alias("of_seg"), F.lit(0).cast("long").alias("base"))
+    parts, left = [], segments.select("*", F.lit(anchor).cast("long").alias("wide"), F.col("h").alias("of_h"), F.col("seg").alias("of_seg"), F.lit(0).cast("long").alias("base"))
     while True:
         left = written(_halves(left, length), "longer-anchors")
         m = left.groupBy("h").agg(F.count_distinct("seg").alias("m"), F.max("wide").alias("w"))
@@ -448,31 +487,42 @@ def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int) ->
     return moved.groupBy(F.col("of_h").alias("h"), F.col("of_seg").alias("seg")).agg(F.flatten(F.collect_list(shifted)).alias("runs"))
 
 
-def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id", group: str | None = None, across: bool = False, many: int = MANY) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id", group: str | None = None, across: bool = False, many: int = MANY, *, anchor: int = ANCHOR, rescan: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(texts, runs)``: identified texts, and for those with repeats ``_k``, ``_h`` and their byte ``runs``.
 
     ``group``: match only inside one value of this column. ``across``: only strings of two
-    different texts (by ``_k``) count.
+    different texts (by ``_k``) count. ``anchor``: bytes of an anchor, which change no result; shorter ones lie further
+    apart, and more of them repeat by chance. ``rescan``: where most texts hold some segment that an array needs, a third
+    pass over them shuffles less than the texts; and only rows are shuffled that bit maps of repeated anchors and of covered segments let through.
     """
-    if not ANCHOR < length <= 2_000 or length - ANCHOR + 1 > 511:
-        raise ValueError(f"length must lie between {ANCHOR + 1} and {ANCHOR + 510}")
+    if not anchor < length <= 2_000 or length - anchor + 1 > 511:
+        raise ValueError(f"length must lie between {anchor + 1} and {anchor + 510}")
     texts = _identified(df, text, key, group)
-    twice = written(_anchor_rows(texts, length).groupBy("h").count().where("count > 1").select("h"), "repeated-anchors")
-    rows = written(_anchor_rows(texts, length, _bit_map(twice)).join(twice, "h"), "anchors")
+    twice = written(_anchor_rows(texts, length, anchor=anchor).groupBy("h").count().where("count > 1").select("h"), "repeated-anchors")
+    known = _bit_map(twice)
+    found = _anchor_rows(texts, length, known, anchor)
+    # A map with few bits set lets hardly an anchor through that occurs once, and such a one matches nothing.
+    few = rescan and twice.count() <= MAP_WORDS
+    rows = written(found if few else found.join(twice, "h"), "anchors")
     # One row for each different segment, with one of its copies.
     kinds = written(rows.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"), F.min(F.struct("_k", "_h", "at")).alias("one")), "segments")
-    several = written(kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "several")
+    several = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("lo").alias("l"), F.max("hi").alias("g"))
+    several = written(several.where("m > 1 and l <> g" if across else "m > 1").select("h", "m"), "several")
     wanted = kinds.join(realigned(several, "h"), "h").select("h", "seg", "n", "lo", "hi", "one._k", "one._h", "one.at")
-    data = written(_segments(texts, wanted), "segment-bytes")
+    data = written(_read_again(texts, wanted, length, known, anchor) if rescan else _segments(texts, wanted), "segment-bytes")
     crowded = written(several.where(F.col("m") > many).select("h"), "crowded")
     if crowded.head(1):
         found = _sorted_runs(data.join(crowded, "h", "left_anti"), length, across)
-        found = found.unionByName(_crowded_runs(data.join(crowded, "h").dropDuplicates(["h", "seg"]), length, across, many))
+        found = found.unionByName(_crowded_runs(data.join(crowded, "h").dropDuplicates(["h", "seg"]), length, across, many, anchor))
     else:
         found = _sorted_runs(data, length, across)
     whole = _whole(kinds, _left("one.at") + F.col("one.at").bitwiseAND(F.lit(4095)), length, across)
     covered = written(found.join(whole.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(whole), "covered")
-    hits = rows.join(realigned(covered, "h", "seg"), ["h", "seg"])
+    held = rows
+    if rescan:
+        spots = written(bit_words(covered.select(F.col("seg").alias("h"))), "covered-spots")
+        held, _ = parted(rows, F.col("seg"), spots)
+    hits = held.join(realigned(covered, "h", "seg"), ["h", "seg"])
     base = (F.shiftright("at", 24) - _left()).cast("int")
     moved = hits.select("_k", "_h", F.transform("runs", lambda r: F.struct((r["a"] + base).alias("a"), (r["b"] + base).alias("b"))).alias("runs"))
     # Anchors of one text: as many as its length allows.
