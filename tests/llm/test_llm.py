@@ -648,6 +648,44 @@ def test_op10_arrays_do_not_depend_on_anchors(spark, anchor, rescan):
     assert runs(anchor=anchor, rescan=rescan) == runs() != {}
 
 
+def test_pipeline_written_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from threadmill.llm import storage
+
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = files()
+    out = storage.written(spark.range(5_000).groupBy((F.col("id") % 70).alias("g")).count().repartition("count", "g"), "test")
+    end = time.time() + 10
+    while (left := files() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and out.count() == 70 and spark.conf.get(storage.CLEANUP, "false") == "false"
+
+
+def test_pipeline_pairs_are_written_in_few_part_files(spark, monkeypatch):
+    few, rng, plain, sizes = 3, random.Random(17), simwide.written, []
+    body = [" ".join(rng.choices([f"w{i}" for i in range(400)], k=60)) for _ in range(60)]
+    df = spark.createDataFrame([(i, t + " tail" * (i > 59)) for i, t in enumerate(body + body)], "doc_id long, text string")
+
+    def noted(table, kind):
+        out = plain(table, kind)
+        sizes.append((kind, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(simwide, "written", noted)
+    monkeypatch.setattr(simwide, "_part_files", lambda rows: few)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        assert simwide.keep_one(df).count() == 60
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert {"candidates", "sets", "similar-pairs"} <= {k for k, _ in sizes}
+    assert all(n <= few for k, n in sizes if k in ("candidates", "sets", "similar-pairs"))
+
+
 def test_pipeline_stages_take_effect(spark, sf):
     import corpus_pipeline
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .simhash import BUNDLE, GATHER, _bundles, _popcount, components, masks, shingle_pieces
-from .storage import discard, realigned, written
+from .storage import discard, realigned, shuffles_deleted, written
 
 #: Bits of the fingerprint that pairs are checked on, in words of 64.
 WIDE = 512
@@ -268,8 +268,9 @@ def frequent(source: DataFrame, count: int, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *(shingle_hashes(x, words) for x in t.column(0).to_pylist())]).view(np.int64))], ["h"])
 
     sample = source.where(F.pmod(F.xxhash64("_row"), F.lit(max(1, count // SAMPLE))) == 0).select("_text")
-    found = sample.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= OFTEN)
-    return np.sort(np.array([r.h for r in found.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()], np.int64))
+    with shuffles_deleted(source.sparkSession):
+        found = sample.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= OFTEN)
+        return np.sort(np.array([r.h for r in found.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()], np.int64))
 
 
 def prefix_of(h: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
@@ -424,12 +425,13 @@ def possible(pairs: DataFrame, prefix: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "la", "lb").mapInArrow(run, "a long, b long")
 
 
-def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, similarity: float) -> DataFrame:
+def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, similarity: float, few: int) -> DataFrame:
     """Pairs whose shingle sets are at least this similar, exactly; a written table.
 
     Sets are made from the texts of rows that some pair asks for: ``rows`` tells the ids of a node's row in ``source``.
+    ``few``: part files of its tables, at most.
     """
-    pairs = written(pairs, "candidates")
+    pairs = written(pairs.coalesce(few), "candidates")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
     asked = rows.select("_row", "_key", "_odd").join(realigned(nodes, "_row"), "_row")
     on = (source["_key"].eqNullSafe(asked["_key"])) & (source["_odd"].eqNullSafe(asked["_odd"]))
@@ -442,7 +444,7 @@ def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, s
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *made]).view(np.int64)))
             yield pa.RecordBatch.from_arrays([t.column(0), lists], ["node", "set"])
 
-    sets = written(texts.mapInArrow(sets, "node long, set array<long>"), "sets")
+    sets = written(texts.mapInArrow(sets, "node long, set array<long>").coalesce(few), "sets")
     one, two = (sets.select(F.col("node").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
 
     def run(batches):
@@ -456,7 +458,7 @@ def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, s
             near = pa.array(near)
             yield pa.RecordBatch.from_arrays([t.column(0).filter(near), t.column(1).filter(near)], ["a", "b"])
 
-    out = written(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "similar-pairs")
+    out = written(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").coalesce(few), "similar-pairs")
     discard(pairs, sets)
     return out
 
@@ -503,7 +505,7 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     most = most_bits(similarity, 192)
 
     def similar(pairs: DataFrame) -> DataFrame:
-        return _checked(pairs, rows, texts, words, similarity)
+        return _checked(pairs, rows, texts, words, similarity, few)
 
     # One table joins most of a dense group; then all tables, for pairs of different classes alone.
     early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1)), part_files=few).coalesce(few), "early-classes")
