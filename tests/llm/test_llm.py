@@ -686,6 +686,70 @@ def test_pipeline_pairs_are_written_in_few_part_files(spark, monkeypatch):
     assert all(n <= few for k, n in sizes if k in ("candidates", "sets", "similar-pairs"))
 
 
+def test_pipeline_stages_write_few_part_files(spark, monkeypatch):
+    most, rng, plain, sizes = 24, random.Random(19), simwide.written, []
+    words = [f"w{i}" for i in range(400)]
+    quote = " ".join(rng.choices(words, k=90))
+    rows = [(i, " ".join(rng.choices(words, k=40)) + " " + quote[i % 7 : 240 + i % 11] + " " + " ".join(rng.choices(words, k=40))) for i in range(120)]
+    rows += [(120 + i, t + " tail" * (i > 20)) for i, t in rows[:40]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, rows[i][1]) for i in range(9)], "item_id long, text string")
+
+    def noted(table, kind):
+        out = plain(table, kind)
+        sizes.append((kind, len(out.inputFiles())))
+        return out
+
+    for module in (simhash, simwide, suffix, decontaminate):
+        monkeypatch.setattr(module, "written", noted)
+    monkeypatch.setattr(suffix.repeated_runs, "__defaults__", (200, "text", "doc_id", None, False, 1))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(most + 6))
+        distinct = noted(simwide.keep_one(df), "kept-rows")
+        cut = noted(suffix.keep_unique(df), "cut-rows")
+        clean = noted(decontaminate.keep_clean(df, bench), "clean-rows")
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    kinds = {k for k, _ in sizes}
+    assert {"links", "found-classes", "kept", "repeated-anchors", "segments", "covered", "longer-anchors", "longer-covered", "runs", "benchmark-windows"} <= kinds
+    assert [x for x in sizes if x[1] > most] == [] and max(n for k, n in sizes if k == "links") <= 4
+    assert sorted(r.doc_id for r in distinct.collect()) == list(range(120))
+    data = {i: hashlib.sha256(r.text.encode()).hexdigest() for r in cut.collect() for i in [r.doc_id]}
+    assert [(i, data[i]) for i in sorted(data)] == sorted((x[0], x[4]) for x in removed(rows, 200))
+    held_out = {tuple(w[a : a + 10]) for w in (WORD.findall(rows[i][1]) for i in range(9)) for a in range(len(w) - 9)}
+    want = [i for i, t in rows if not any(tuple(w[a : a + 10]) in held_out for w in [WORD.findall(t)] for a in range(len(w) - 9))]
+    assert sorted(r.doc_id for r in clean.collect()) == want
+
+
+def test_pipeline_workers_hold_one_operator_and_few_bytes(spark, sf):
+    import corpus_pipeline
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    def seen(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    setting, plan = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(0, 4_000, 1, 1).select(F.repeat(F.lit("long text "), 500).alias("t"))
+    spark.conf.unset(setting)
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        assert len(stage(spark, docs, sf).columns) == 5
+        rows = [r.n for r in plan.mapInArrow(seen, StructType([StructField("n", LongType())])).collect()]
+        assert sum(rows) == 4_000 and max(rows) * 5_000 < 8_000_000
+        spark.conf.unset(setting)
+    from threadmill.llm import storage
+
+    gone = []
+    for owner in "aabba":
+        storage.hold(owner, lambda x=owner: gone.append(x))
+    assert gone == ["a", "b"]
+
+
 def test_pipeline_stages_take_effect(spark, sf):
     import corpus_pipeline
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import hold
+
 #: Pre-tokens kept in a worker's cache, at most (about 200 bytes each).
 CACHE_ENTRIES = 600_000
 #: Characters of a pre-token that is kept, at most: longer runs (no white space, base64) are encoded anew in each text.
@@ -193,6 +195,7 @@ def encode_checked(df: DataFrame, path: str, pattern: str, text: str = "text", k
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", ids array<int>, n_tokens long, decodes boolean"
 
     def run(batches):
+        hold("bpe", load.cache_clear)
         bpe = load(path, pattern)
         for b in batches:
             texts = _texts(b, len(keep))

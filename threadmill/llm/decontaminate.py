@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import file_system, written
+from .storage import file_system, hold, part_files, written
 
 #: Bytes of distinct windows in one automaton, about (each text byte is in ten windows).
 BLOCK_BYTES = 16_000_000
@@ -114,8 +114,11 @@ def _windows(uri: str, block: int, blocks: int) -> Windows:
     return _built[uri, block]
 
 
-def window_table(benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = 10) -> tuple[str, int]:
-    """Folder of the table of distinct windows of all items, and the number of blocks they are dealt into."""
+def window_table(benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = 10, few: int | None = None) -> tuple[str, int]:
+    """Folder of the table of distinct windows of all items, and the number of blocks they are dealt into.
+
+    ``few``: part files of the table, at most.
+    """
 
     def cut(batches):
         for b in batches:
@@ -124,7 +127,8 @@ def window_table(benchmark: DataFrame, text: str = "text", item: str = "item_id"
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 10_000]), (pa.binary(), pa.int64(), pa.string()))], ["window", "n", "item"])
 
     items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
-    table = written(items.mapInArrow(cut, "window binary, n long, item string").distinct(), "benchmark-windows")
+    windows = items.mapInArrow(cut, "window binary, n long, item string").distinct()
+    table = written(windows if few is None else windows.coalesce(few), "benchmark-windows")
     total = table.select("window").distinct().agg(F.sum(F.octet_length("window"))).first()[0] or 0
     return table._written_to, -(-total // BLOCK_BYTES) or 1
 
@@ -188,11 +192,12 @@ def item_digest(items: list[str]) -> str:
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item: str = "item_id", size: int = 10) -> DataFrame:
     """Rows of ``df``, all columns, whose text holds no window of the benchmark."""
-    uri, blocks = window_table(benchmark, item_text, item, size)
+    uri, blocks = window_table(benchmark, item_text, item, size, part_files(benchmark.count()))
     out, at = df, df.columns.index(text)
     for block in range(blocks):
 
         def run(batches, block=block):
+            hold("windows", _built.clear)
             windows = _windows(uri, block, blocks)
             for b in batches:
                 yield b.filter(pa.array([not windows.scan(t)[1] for t in b.column(at).to_pylist()], pa.bool_()))

@@ -44,7 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .simhash import BUNDLE, GATHER, _bundles, _popcount, components, masks, shingle_pieces
-from .storage import discard, realigned, shuffles_deleted, written
+from .storage import discard, hold, realigned, shuffles_deleted, written
+from .storage import part_files as _part_files
 
 #: Bits of the fingerprint that pairs are checked on, in words of 64.
 WIDE = 512
@@ -67,10 +68,9 @@ SLICE = 500
 #: Sets that meet in one shingle in one task, at most (two blocks of half as many), and hash values by which crowds are sought.
 CROWD = 40_000
 SPOTS = 1 << 20
-#: Rows of a part file of tables that hold a row for each text at most, and their part files at least.
-PART_ROWS = 10_000
-PART_FILES = 24
-
+#: Rows of a part file of tables of two longs a row, and their part files at least.
+LINK_ROWS = 100_000
+LINK_FILES = 4
 #: Words of a set's tally, sixteen counts of four bits each, and the first of the hash bits that name a count.
 TALLY = 4
 TALLY_BIT = 20
@@ -463,9 +463,9 @@ def _checked(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int, s
     return out
 
 
-def _part_files(rows: int) -> int:
-    """Part files of a table of at most so many rows. On a local file system each costs some six processes."""
-    return max(PART_FILES, math.ceil(rows / PART_ROWS))
+def _link_files(rows: int) -> int:
+    """Part files of a table of links or classes of at most so many rows."""
+    return max(LINK_FILES, math.ceil(rows / LINK_ROWS))
 
 
 def _tree(classes: DataFrame) -> DataFrame:
@@ -477,10 +477,11 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
     """``_key``, ``_odd`` and ``class`` (a long) of every row of ``source``: ``_key``, ``_odd`` (longs, together distinct), ``_text``; a written table."""
     texts, source = source, source.select(F.monotonically_increasing_id().alias("_row"), "_key", "_odd", "_text")
     total = source.count()
-    few = _part_files(total)
+    few, links = _part_files(total), _link_files(total)
     often = frequent(source, total, words)
 
     def prints(batches):
+        hold("sets")
         for b in _sliced(batches):
             sets = [_ascending(shingle_hashes(t, words)) for t in b.column(3).to_pylist()]
             wide = np.array([wide_of(h) for h in sets], np.uint64).reshape(-1, WIDE // 64)
@@ -508,16 +509,16 @@ def _classes(source: DataFrame, words: int, similarity: float) -> DataFrame:
         return _checked(pairs, rows, texts, words, similarity, few)
 
     # One table joins most of a dense group; then all tables, for pairs of different classes alone.
-    early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1)), part_files=few).coalesce(few), "early-classes")
+    early = written(components(similar(candidates(nodes.withColumn("known", F.col("node")), count, most, 1)), part_files=links).coalesce(links), "early-classes")
     told = nodes.join(early, "node", "left").select("node", "parts", "wide", F.coalesce("component", "node").alias("known"))
     later = similar(candidates(told, count, most))
     # The search so far may have missed pairs: what is left between classes is searched exactly.
-    found = written(components(later.unionByName(_tree(early)), part_files=few).coalesce(few), "found-classes")
+    found = written(components(later.unionByName(_tree(early)), part_files=links).coalesce(links), "found-classes")
     told = named.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("known"))
     prefix = rows.select(F.col("_row").alias("node"), "n", "tally", "prefix")
     short = rows.select(F.col("_row").alias("node"), "n", "low")
     rest = similar(possible(remaining(prefix, told, similarity), short, similarity))
-    classes = components(rest.unionByName(_tree(found)), part_files=few)
+    classes = components(rest.unionByName(_tree(found)), part_files=links)
     of_print = of_digest.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     out = written(rows.select("_key", "_odd", "digest").join(realigned(of_print, "digest"), "digest").select("_key", "_odd", "class").coalesce(few), "classes")
     discard(rows, of_digest, nodes, early, later, found, rest)
@@ -550,7 +551,8 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int
     source = plain.select("_key", F.lit(None).cast("long").alias("_odd"), of_text).unionByName(odd.select("_key", "_odd", of_text))
     first = F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "_odd"))
     classes = _classes(source, words, similarity)
-    kept = written(classes.groupBy("class").agg(first.alias("f")).select("f._key", "f._odd"), "kept")
+    few = _part_files(classes.count())
+    kept = written(classes.groupBy("class").agg(first.alias("f")).select("f._key", "f._odd").coalesce(few), "kept")
     discard(classes)
     plainly = kept.where("_odd is null").select("_key")
     oddly = kept.where("_odd is not null").select("_odd")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import discard, realigned, shuffles_deleted, written
+from .storage import discard, part_files, realigned, shuffles_deleted, written
 
 #: Bytes of an anchor.
 ANCHOR = 64
@@ -461,14 +461,22 @@ def _halves(segments: DataFrame, length: int) -> DataFrame:
     return segments.select(*cols).mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", data binary")
 
 
-def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int, anchor: int = ANCHOR) -> DataFrame:
-    """As ``_sorted_runs``, for anchors with more than ``many`` segments: their anchors grow until none has so many."""
+def _in_few(df: DataFrame, few: int | None) -> DataFrame:
+    """``df`` in ``few`` partitions at most, if given."""
+    return df if few is None else df.coalesce(few)
+
+
+def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int, anchor: int = ANCHOR, few: int | None = None) -> DataFrame:
+    """As ``_sorted_runs``, for anchors with more than ``many`` segments: their anchors grow until none has so many.
+
+    ``few``: part files of its tables, at most.
+    """
     parts, left = [], segments.select("*", F.lit(anchor).cast("long").alias("wide"), F.col("h").alias("of_h"), F.col("seg").alias("of_seg"), F.lit(0).cast("long").alias("base"))
     while True:
-        left = written(_halves(left, length), "longer-anchors")
+        left = written(_in_few(_halves(left, length), few), "longer-anchors")
         m = left.groupBy("h").agg(F.count_distinct("seg").alias("m"), F.max("wide").alias("w"))
         # An anchor that is a window has one segment.
-        crowded = written(m.where((F.col("m") > many) & (F.col("w") < length)).select("h"), "crowded-anchors")
+        crowded = written(_in_few(m.where((F.col("m") > many) & (F.col("w") < length)).select("h"), few), "crowded-anchors")
         parts.append(left.join(crowded, "h", "left_anti"))
         if not crowded.head(1):
             break
@@ -477,56 +485,57 @@ def _crowded_runs(segments: DataFrame, length: int, across: bool, many: int, anc
     for p in parts[1:]:
         whole = whole.unionByName(p)
     kinds = whole.groupBy("h", "seg").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("data").alias("data"))
-    kinds = written(kinds, "longer-segments")
+    kinds = written(_in_few(kinds, few), "longer-segments")
     found = _sorted_runs(kinds, length, across)
     full = _whole(kinds, F.octet_length("data"), length, across)
-    runs = written(found.join(full.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(full), "longer-covered")
+    runs = written(_in_few(found.join(full.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(full), few), "longer-covered")
     moved = whole.select("h", "seg", "of_h", "of_seg", F.col("base").cast("int").alias("base")).join(realigned(runs, "h", "seg"), ["h", "seg"])
     shifted = F.transform("runs", lambda r: F.struct((r["a"] + F.col("base")).alias("a"), (r["b"] + F.col("base")).alias("b")))
     # At most as many runs as a segment has windows.
     return moved.groupBy(F.col("of_h").alias("h"), F.col("of_seg").alias("seg")).agg(F.flatten(F.collect_list(shifted)).alias("runs"))
 
 
-def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id", group: str | None = None, across: bool = False, many: int = MANY, *, anchor: int = ANCHOR, rescan: bool = False) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(df: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id", group: str | None = None, across: bool = False, many: int = MANY, *, anchor: int = ANCHOR, rescan: bool = False, few: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(texts, runs)``: identified texts, and for those with repeats ``_k``, ``_h`` and their byte ``runs``.
 
     ``group``: match only inside one value of this column. ``across``: only strings of two
     different texts (by ``_k``) count. ``anchor``: bytes of an anchor, which change no result; shorter ones lie further
     apart, and more of them repeat by chance. ``rescan``: where most texts hold some segment that an array needs, a third
     pass over them shuffles less than the texts; and only rows are shuffled that bit maps of repeated anchors and of covered segments let through.
+    ``few``: part files of the tables written in between, at most; as many as tasks if not given.
     """
     if not anchor < length <= 2_000 or length - anchor + 1 > 511:
         raise ValueError(f"length must lie between {anchor + 1} and {anchor + 510}")
     texts = _identified(df, text, key, group)
-    twice = written(_anchor_rows(texts, length, anchor=anchor).groupBy("h").count().where("count > 1").select("h"), "repeated-anchors")
+    twice = written(_in_few(_anchor_rows(texts, length, anchor=anchor).groupBy("h").count().where("count > 1").select("h"), few), "repeated-anchors")
     known = _bit_map(twice)
     found = _anchor_rows(texts, length, known, anchor)
     # A map with few bits set lets hardly an anchor through that occurs once, and such a one matches nothing.
-    few = rescan and twice.count() <= MAP_WORDS
-    rows = written(found if few else found.join(twice, "h"), "anchors")
+    sparse = rescan and twice.count() <= MAP_WORDS
+    rows = written(_in_few(found if sparse else found.join(twice, "h"), few), "anchors")
     # One row for each different segment, with one of its copies.
-    kinds = written(rows.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"), F.min(F.struct("_k", "_h", "at")).alias("one")), "segments")
+    kinds = written(_in_few(rows.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"), F.min(F.struct("_k", "_h", "at")).alias("one")), few), "segments")
     several = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("lo").alias("l"), F.max("hi").alias("g"))
-    several = written(several.where("m > 1 and l <> g" if across else "m > 1").select("h", "m"), "several")
+    several = written(_in_few(several.where("m > 1 and l <> g" if across else "m > 1").select("h", "m"), few), "several")
     wanted = kinds.join(realigned(several, "h"), "h").select("h", "seg", "n", "lo", "hi", "one._k", "one._h", "one.at")
-    data = written(_read_again(texts, wanted, length, known, anchor) if rescan else _segments(texts, wanted), "segment-bytes")
-    crowded = written(several.where(F.col("m") > many).select("h"), "crowded")
+    data = written(_in_few(_read_again(texts, wanted, length, known, anchor) if rescan else _segments(texts, wanted), few), "segment-bytes")
+    crowded = written(_in_few(several.where(F.col("m") > many).select("h"), few), "crowded")
     if crowded.head(1):
         found = _sorted_runs(data.join(crowded, "h", "left_anti"), length, across)
-        found = found.unionByName(_crowded_runs(data.join(crowded, "h").dropDuplicates(["h", "seg"]), length, across, many, anchor))
+        found = found.unionByName(_crowded_runs(data.join(crowded, "h").dropDuplicates(["h", "seg"]), length, across, many, anchor, few))
     else:
         found = _sorted_runs(data, length, across)
     whole = _whole(kinds, _left("one.at") + F.col("one.at").bitwiseAND(F.lit(4095)), length, across)
-    covered = written(found.join(whole.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(whole), "covered")
+    covered = written(_in_few(found.join(whole.select("h", "seg"), ["h", "seg"], "left_anti").unionByName(whole), few), "covered")
     held = rows
     if rescan:
-        spots = written(bit_words(covered.select(F.col("seg").alias("h"))), "covered-spots")
+        spots = written(_in_few(bit_words(covered.select(F.col("seg").alias("h"))), few), "covered-spots")
         held, _ = parted(rows, F.col("seg"), spots)
     hits = held.join(realigned(covered, "h", "seg"), ["h", "seg"])
     base = (F.shiftright("at", 24) - _left()).cast("int")
     moved = hits.select("_k", "_h", F.transform("runs", lambda r: F.struct((r["a"] + base).alias("a"), (r["b"] + base).alias("b"))).alias("runs"))
     # Anchors of one text: as many as its length allows.
-    runs = written(moved.groupBy("_k", "_h").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    runs = written(_in_few(moved.groupBy("_k", "_h").agg(F.flatten(F.collect_list("runs")).alias("runs")), few), "runs")
     discard(twice, rows, kinds, several, data, crowded, covered)
     return texts, runs
 
@@ -568,7 +577,10 @@ def keep_unique(df: DataFrame, length: int = 200, text: str = "text", key: str =
 
     Cuts shrink to character edges, so that what is left is text.
     """
-    _, runs = repeated_runs(df, length, text, key)
+    with shuffles_deleted(df.sparkSession):
+        rows, size = df.agg(F.count("*"), F.sum(F.octet_length(F.col(text)))).first()
+    few = part_files(rows, size or 0)
+    _, runs = repeated_runs(df, length, text, key, few=few)
     names, at = df.columns, df.columns.index(text)
     held = df.select(*_key_columns(df, text, key), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
     joined = held.join(realigned(runs, "_k", "_h"), ["_k", "_h"], "left").select("_row.*", F.col("runs").alias("_runs_of_text"))
@@ -593,7 +605,7 @@ def keep_unique(df: DataFrame, length: int = 200, text: str = "text", key: str =
             cols[at] = pa.array(out, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return joined.mapInArrow(run, df.schema)
+    return _in_few(joined.mapInArrow(run, df.schema), few)
 
 
 #: DuckDB SQL of the query over ``documents``: every string of 200 bytes is counted.

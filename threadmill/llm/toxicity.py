@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import hold
+
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE_ROWS = 6_000
 #: Features that the model keeps, at most.
@@ -242,6 +244,7 @@ def keep_civil(df: DataFrame, labels: DataFrame, text: str = "text", key: str =
     at = df.columns.index(text)
 
     def run(batches):
+        hold("toxicity", _scorers.clear)
         if tag not in _scorers:
             _scorers.clear()
             _scorers[tag] = Scorer(held.value)
