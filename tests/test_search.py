@@ -73,3 +73,28 @@ def test_nobody_is_asked(spark):
     docs = spark.createDataFrame([("a", "cat"), ("b", None)], "doc_id string, text string")
     none = spark.createDataFrame([("q", " "), ("p", None)], "query_id string, query string")
     assert retrieval.bm25_topk(docs, none, 2).collect() == [] and retrieval.bm25_match(docs.limit(0), none).collect() == []
+    v = spark.createDataFrame([(1, [0.5])], "vec_id long, embedding array<float>")
+    assert retrieval.vector_topk(v, v.where("vec_id = 2"), 2).collect() == []
+
+
+@pytest.mark.parametrize("most", [10_000, 4])
+def test_nearest_vectors_equal_brute_force_in_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(search, "CELLS", 50)
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([0.0, 0.25, rng.random()]) for _ in range(5)]) for i in range(80)]
+    rows += [(100 + i, rows[3][1]) for i in range(9)] + [(200, None), (201, [0.5, None, 0.5]), (202, []), (203, [1.0] * 7), (204, [float("nan")] * 5), (205, [float("inf")] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def apart(a, b):
+        terms = [(x - y) ** 2 for x, y in zip(a or [], b or []) if x is not None and y is not None]
+        return (1, 0.0) if not terms else (0, round(math.sqrt(sum(terms)), 6))
+
+    asked = [r for r in rows if r[0] < 10]
+    want = set()
+    for q, a in asked:
+        near = sorted((*apart(a, b), d) for d, b in rows if d < 204)[:6]
+        want |= {(q, d, s, i + 1) for i, (_, s, d) in enumerate(near)}
+    got = retrieval.vector_topk(df.repartition(3), df.where("vec_id < 10"), 6, most_queries=most).collect()
+    assert {(r.query_id, r.doc_id, r.distance, r["rank"]) for r in got} == want and len(got) == len(want)
+    last = [r.doc_id for r in retrieval.vector_topk(df, df.where("vec_id = 0"), 200).orderBy("rank").collect()][-4:]
+    assert last == [205, 204, 200, 202]
