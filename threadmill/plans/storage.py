@@ -15,6 +15,8 @@ from . import views as v
 
 KEY = "0123456789abcdef"
 MESSAGE = "message_id string, thread_id string, sender string, pos long, text string"
+#: Rows of a file that is read as a whole.
+FILE_ROWS = 10_000
 
 
 def _rows(s, d):
@@ -28,10 +30,16 @@ def _text_file(s, lines: list[str]) -> str:
     return path
 
 
+def _file(rows, key: str, times: int = 1):
+    """A number for each row's file: rows of one key share it, and a file has about ``times`` FILE_ROWS."""
+    return F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows.count() // (times * FILE_ROWS)))))
+
+
 def scan_json_dir(s, d):
     path = scratch(s, "json")
-    arrays = _rows(s, d).groupBy("thread_id").agg(F.to_json(F.collect_list(F.struct("message_id", "pos"))).alias("value"))
-    arrays.repartition("thread_id").write.option("maxRecordsPerFile", 1).partitionBy("thread_id").text(f"{path}/a")
+    rows = _rows(s, d)
+    arrays = rows.groupBy(_file(rows, "thread_id").alias("file")).agg(F.to_json(F.collect_list(F.struct("message_id", "pos"))).alias("value"))
+    arrays.repartition("file").write.option("maxRecordsPerFile", 1).partitionBy("file").text(f"{path}/a")
     return files.scan_json_dir(s, path, "message_id string, pos long", "*.txt")
 
 
@@ -47,7 +55,10 @@ def scan_jsonl_file_atomic(s, d):
     path = scratch(s, "jsonl")
     bad = F.col("thread_id").endswith("7") & (F.col("pos") == 0)
     line = F.when(bad, F.lit("{not json")).otherwise(F.to_json(F.struct("message_id", "pos")))
-    _rows(s, d).select("thread_id", line.alias("value")).repartition("thread_id").write.partitionBy("thread_id").text(path)
+    rows = _rows(s, d)
+    # Threads share a file with those of the same last digit, so that a bad line costs no other thread.
+    file = F.concat_ws("-", F.right("thread_id", F.lit(1)), _file(rows, "thread_id", 10))
+    rows.select(file.alias("file"), line.alias("value")).repartition("file").write.partitionBy("file").text(path)
     return files.scan_jsonl_file_atomic(s, f"{path}/*", "message_id string, pos long").select("message_id", "pos")
 
 
