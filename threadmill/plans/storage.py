@@ -15,8 +15,9 @@ from . import views as v
 
 KEY = "0123456789abcdef"
 MESSAGE = "message_id string, thread_id string, sender string, pos long, text string"
-#: Rows of a file that is read as a whole.
+#: Rows of a file that is read as a whole, and steps in a training log.
 FILE_ROWS = 10_000
+LOG_STEPS = 50_000
 
 
 def _rows(s, d):
@@ -79,7 +80,8 @@ def scan_manifest(s, d):
     path = scratch(s, "manifest")
     rows = m.assign_splits(_rows(s, d))
     entry = F.map_from_entries(F.collect_list(F.struct("message_id", F.struct("split", "thread_id"))))
-    rows.coalesce(1).agg(F.to_json(F.struct(F.lit(42).alias("seed"), entry.alias("assignments"))).alias("value")).write.text(path)
+    maps = rows.groupBy(_file(rows, "thread_id").alias("file")).agg(F.to_json(F.struct(F.lit(42).alias("seed"), entry.alias("assignments"))).alias("value"))
+    maps.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return files.scan_manifest(s, path).select("id", "split", "thread_id")
 
 
@@ -98,7 +100,9 @@ def scan_rules(s, d):
 def scan_trainer_state(s, d):
     path = scratch(s, "state")
     log = F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("step"), F.col("value").alias("eval_loss"))))
-    v.table(s, d, "events").agg(F.to_json(F.struct(F.lit("checkpoint-7").alias("best_model_checkpoint"), log.alias("log_history"))).alias("value")).write.text(path)
+    # A state for each stretch of steps: one JSON document is written, and read, by one task.
+    states = v.table(s, d, "events").groupBy(F.floor(F.col("event_id") / LOG_STEPS).alias("run")).agg(F.to_json(F.struct(F.lit("checkpoint-7").alias("best_model_checkpoint"), log.alias("log_history"))).alias("value"))
+    states.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return files.scan_trainer_state(s, path)
 
 
