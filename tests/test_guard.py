@@ -47,6 +47,9 @@ def test_pairs_equal_brute_force_in_any_slices(spark, monkeypatch, block, slice_
     assert any(j >= 0.7 and h > 8 for h, j in want.values()) and ("x60", "x61") not in want and ("x61", "x60") in want
     one = guard.contamination_summary(guard.contamination_pairs(prints), prints).first()
     assert (one.total_rows, one.n_pairs) == (93, len(want))
+    assert guard.summary_of_ends(guard.contamination_ends(prints), prints).first() == one
+    counted, listed = (sorted(map(tuple, x.collect())) for x in (guard.contamination_ends(prints), guard.ends(guard.contamination_pairs(prints))))
+    assert counted == listed
     assert one.contaminated_row_pct == round(len({r for p in want for r in p}) * 100 / 93, 2)
 
 
